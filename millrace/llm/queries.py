@@ -38,6 +38,18 @@ def p1_audit(spark: SparkSession, d: str) -> DataFrame:
     return audit.select(_field().alias("field"), "rows", "flagged", "repeated", "wrong", "wrong_share")
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.mainbody import surrounding_lines
+
+    return surrounding_lines(table(spark, d, "goodhtml"))
+
+
+def p2_bodies(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.mainbody import main_bodies
+
+    return main_bodies(table(spark, d, "goodhtml"))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.repeats import repeated_lines
 
@@ -50,6 +62,19 @@ def p4_texts(spark: SparkSession, d: str) -> DataFrame:
     return without_repeated_lines(table(spark, d, "goodhtml"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.residue import mark_residue
+
+    return mark_residue(table(spark, d, "pair")).filter("residue").select(F.col("row_id").alias("pair_id"))
+
+
+def p5_kept(spark: SparkSession, d: str) -> DataFrame:
+    """The pairs without residue, by the id of the pair."""
+    from millrace.llm.residue import mark_residue
+
+    return mark_residue(table(spark, d, "pair")).filter("NOT residue").select(F.col("row_id").alias("pair_id"))
+
+
 #: Pairs of a site that stay in each snapshot.
 MOST_PAIRS = 10
 
