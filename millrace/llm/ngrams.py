@@ -26,43 +26,44 @@ def codes_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return codes, np.append(0, np.cumsum(sizes))
 
 
-def gram_indexes(codes: np.ndarray) -> list[np.ndarray]:
-    """For n = 1..ORDER the table index of the n-gram that ends at each position."""
+def gram_indexes(codes: np.ndarray, orders: int = ORDER) -> list[np.ndarray]:
+    """For n = 1..orders the table index of the n-gram that ends at each position."""
     out, total = [], np.zeros(len(codes), np.uint64)
     wide = codes.astype(np.uint64)
     with np.errstate(over="ignore"):
-        for n in range(1, ORDER + 1):
+        for n in range(1, orders + 1):
             shifted = np.zeros(len(codes), np.uint64)
             shifted[n - 1 :] = wide[: len(codes) - n + 1] if n > 1 else wide
             total = (total * np.uint64(31)) ^ (shifted + np.uint64(n)) * _MULTIPLY
             mixed = (total ^ (total >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-            out.append((mixed >> np.uint64(64 - BITS)).astype(np.int64))
+            # Single characters index themselves; longer grams are hashed.
+            out.append((mixed >> np.uint64(64 - BITS) if n > 1 else wide & np.uint64((1 << BITS) - 1)).astype(np.int64))
     return out
 
 
-def add_counts(counts: np.ndarray, texts: list[str], weight: float = 1.0) -> None:
-    """Adds the texts' n-grams to ``counts`` of shape (ORDER, 2**BITS)."""
+def add_counts(counts: np.ndarray, texts: list[str], weight: float = 1.0, orders: int = ORDER) -> None:
+    """Adds the texts' n-grams up to ``orders`` to ``counts`` of shape (ORDER, 2**BITS)."""
     if not texts:
         return
     codes, _ = codes_of(texts)
-    grams = gram_indexes(codes)
+    grams = gram_indexes(codes, orders)
     real = codes != START
-    for n in range(ORDER):
-        if n < ORDER - 1:  # contexts may lie in the start marks
+    for n in range(orders):
+        if n < orders - 1:  # contexts may lie in the start marks
             counts[n] += weight * np.bincount(grams[n], minlength=1 << BITS)
         else:
             counts[n] += weight * np.bincount(grams[n][real], minlength=1 << BITS)
 
 
-def gather_counts(df: DataFrame, texts_of: Callable[[pa.RecordBatch], list[str]]) -> np.ndarray:
-    """Counts over all rows: summed within each task, then by Spark; at most ORDER * 2**BITS numbers reach the driver."""
+def gather_counts(df: DataFrame, texts_of: Callable[[pa.RecordBatch], list[str]], orders: int = ORDER) -> np.ndarray:
+    """Counts over all rows: summed within each task, then by Spark; at most orders * 2**BITS numbers reach the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((ORDER, 1 << BITS))
         for batch in batches:
             texts = texts_of(batch)
             for at in range(0, len(texts), 20_000):
-                add_counts(counts, texts[at : at + 20_000])
+                add_counts(counts, texts[at : at + 20_000], orders=orders)
         flat = counts.ravel()
         used = np.flatnonzero(flat)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(flat[used].astype(np.int64))], ["slot", "n"])
@@ -86,6 +87,6 @@ class Model:
         p = (self.counts[0][grams[0]] + m * self.unseen) / (self.total + m)
         for n in range(1, self.order):
             context = np.append(0, self.counts[n - 1][grams[n - 1]][:-1])
-            both = np.minimum(self.counts[n][grams[n]], context)
+            both = np.minimum(np.minimum(self.counts[n][grams[n]], context), self.counts[0][grams[0]])  # as collisions allow
             p = (both + m * p) / (context + m)
         return np.log(p)

@@ -50,6 +50,25 @@ def p2_bodies(spark: SparkSession, d: str) -> DataFrame:
     return main_bodies(table(spark, d, "goodhtml"))
 
 
+def _garble_texts(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.mojibake import as_texts
+
+    pages = as_texts(table(spark, d, "html"), "html.html", "html_id", "html", "url")
+    return pages.unionByName(as_texts(table(spark, d, "pair"), "pair.caption", "pair_id", "caption", "page_url"))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.mojibake import garbled_rows
+
+    return garbled_rows(_garble_texts(spark, d))
+
+
+def p3_restored(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.mojibake import restored_texts
+
+    return restored_texts(_garble_texts(spark, d))
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.repeats import repeated_lines
 
@@ -129,6 +148,20 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mix_sources(table(spark, d, "documents"), table(spark, d, "source_targets"))[1]
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.subjects import assign_subjects
+
+    return assign_subjects(table(spark, d, "documents"), table(spark, d, "subject_examples")).select("doc_id", "subject")
+
+
+def p10_composition(spark: SparkSession, d: str) -> DataFrame:
+    """Documents, and sentences about it, of each subject."""
+    from millrace.llm.subjects import assign_subjects
+
+    found = assign_subjects(table(spark, d, "documents"), table(spark, d, "subject_examples"))
+    return found.groupBy("subject").agg(F.count("*").alias("n_docs"), F.avg("share").alias("mean_share"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("p") and name[1].isdigit()}
 
