@@ -167,8 +167,8 @@ def _captions(batch: pa.RecordBatch, column: int) -> list[str]:
 
 def fit_natural(pairs: DataFrame, caption: str = "caption", title: str = "page_title", text: str = "text") -> np.ndarray:
     """n-gram counts of all captions, titles and texts."""
-    prose = gather_counts(pairs.select(title, text), lambda batch: [_folded(x) for i in (0, 1) for x in batch.column(i).to_pylist() if x])
-    return prose * PROSE_WEIGHT + gather_counts(pairs.select(caption), lambda batch: [_folded(x) for x in batch.column(0).to_pylist() if x])
+    prose = gather_counts(pairs.select(title, text), lambda batch: [_folded(x) for i in (0, 1) for x in batch.column(i).to_pylist() if x], NATURAL_ORDER)
+    return prose * PROSE_WEIGHT + gather_counts(pairs.select(caption), lambda batch: [_folded(x) for x in batch.column(0).to_pylist() if x], NATURAL_ORDER)
 
 
 def mark_residue(pairs: DataFrame, id_col: str = "pair_id", caption: str = "caption", title: str = "page_title", text: str = "text") -> DataFrame:
