@@ -38,32 +38,49 @@ LEAST_SENTENCES, LEAST_TERMS = 0.25, 0.7
 #: Terms speak for a subject only if so much of their occurrences in the corpus belongs to one.
 PURITY = 0.6
 
-_TERMS = re.compile(r"[一-鿿々〆ヶ]+|[ァ-ヺー]{2,}|[a-zäöüßéè]{3,}")
+_TERM = r"[一-鿿々〆ヶ]+|[ァ-ヺー]{2,}|[a-zäöüßéè]{3,}"
+#: A sentence ends after an end mark that no closing bracket follows, after a Latin word's full stop, and at line ends.
+_END = r"(?:[。!?](?![」』）)])|(?<=[a-zäöüß0-9)\"”])\.(?=\s)|\n)[\s。!?]*"
+_TERMS = re.compile(_TERM)
+_TOKENS = re.compile(f"{_TERM}|{_END}")
 _INVISIBLE = re.compile("[­​-‏ -‮⁠-⁤﻿︀-️]")
-_SENTENCE = re.compile(r"(?<=[。!?])(?![」』）)])|(?<=[a-zäöüß0-9)\"”]\.)\s+(?=\S)|\n+")
+
+
+def _clean(text: str) -> str:
+    if not text.isascii():
+        text = _INVISIBLE.sub("", text)
+        if not unicodedata.is_normalized("NFKC", text):
+            text = unicodedata.normalize("NFKC", text)
+    return text.replace("\r", "\n").strip(" \t\n　。!?").lower()
 
 
 def sentences(text: str) -> list[str]:
-    """Sentences of a text: parted after an end mark that no closing bracket follows, and at line ends."""
-    text = _INVISIBLE.sub("", text if text.isascii() else unicodedata.normalize("NFKC", text)).replace("\r", "\n")
-    return [s for part in _SENTENCE.split(text) if (s := part.strip())]
+    """Sentences of a text in lower case, without their end marks."""
+    text = _clean(text)
+    return re.split(_END, text) if text else []
+
+
+def terms(text: str) -> list[str]:
+    """Runs of kanji, of katakana and of Latin letters of a text in lower case."""
+    return _TERMS.findall(text.lower())
+
 
+class _Slots(dict):
+    """Slot of each term; -1 for the end of a sentence."""
 
-def terms(sentence: str) -> list[str]:
-    """Runs of kanji, of katakana and of Latin letters, in lower case."""
-    return _TERMS.findall(sentence.lower())
+    def __missing__(self, token: str) -> int:
+        if len(self) > 400_000:
+            self.clear()
+        found = xxhash.xxh3_64_intdigest(token.encode()) >> (64 - TERM_BITS) if _TERMS.match(token) else -1
+        self[token] = found
+        return found
 
 
-_slots: dict[str, int] = {}
+_slots = _Slots()
 
 
 def slot(term: str) -> int:
-    found = _slots.get(term)
-    if found is None:
-        if len(_slots) > 300_000:
-            _slots.clear()
-        found = _slots[term] = xxhash.xxh3_64_intdigest(term.encode()) >> (64 - TERM_BITS)
-    return found
+    return _slots[term]
 
 
 _BAGS = "row_id bigint, n_sentences int, terms array<int>, places array<int>"
@@ -75,20 +92,22 @@ def bags(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in _BAGS.split(", ")]
         for batch in batches:
-            counts, sizes = [], [0]
-            slots: list[int] = []
-            places: list[int] = []
+            tokens: list[int] = []
+            sizes = [0]
             for text in batch.column(1).to_pylist():
-                own = sentences(text) if text else []
-                for i, s in enumerate(own):
-                    found = [slot(t) for t in terms(s)]
-                    slots += found
-                    places += [i] * len(found)
-                counts.append(len(own))
-                sizes.append(len(slots))
-            offsets = pa.array(np.array(sizes, np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.array(x, np.int32))) for x in (slots, places)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(counts, np.int32)), *lists], names)
+                text = _clean(text) if text else ""
+                if text:
+                    tokens += map(_slots.__getitem__, _TOKENS.findall(text))
+                    tokens.append(-1)
+                sizes.append(len(tokens))
+            flat, edges = np.array(tokens, np.int32), np.array(sizes)
+            ends = np.append(0, np.cumsum(flat < 0))
+            before = ends[edges]  # sentences before each text
+            kept = flat >= 0
+            offsets = np.append(0, np.cumsum(kept))[edges].astype(np.int32)
+            places = (ends[:-1] - np.repeat(before[:-1], np.diff(edges)))[kept].astype(np.int32)
+            lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (flat[kept], places)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(before).astype(np.int32)), *lists], names)
 
     return docs.selectExpr(f"CAST({id_col} AS BIGINT) AS row_id", text_col).mapInArrow(run, _BAGS)
 
