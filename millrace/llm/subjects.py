@@ -161,13 +161,14 @@ class TopicModel:
         likely = self.weights[column]
         theta = np.full((n, k), 1.0 / k, np.float32)
         starts = np.flatnonzero(np.append(True, doc[1:] != doc[:-1])) if len(doc) else np.zeros(0, int)
-        share = likely
-        for _ in range(INNER):
-            share = likely * theta[doc]
-            share /= np.maximum(share.sum(1, keepdims=True), 1e-30)
-            if len(starts):
-                theta[doc[starts]] = np.add.reduceat(share, starts, axis=0) + self.alpha
-            theta /= theta.sum(1, keepdims=True)
+        alpha, share = self.alpha, likely
+        for turn in range(INNER):
+            share = np.take(theta, doc, axis=0)
+            share *= likely
+            share /= np.maximum(np.einsum("ij->i", share), 1e-30)[:, None]
+            if turn < INNER - 1 and len(starts):
+                theta[doc[starts]] = np.add.reduceat(share, starts, axis=0) + alpha
+                theta /= np.einsum("ij->i", theta)[:, None]
         return share
 
 
