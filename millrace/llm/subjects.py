@@ -191,7 +191,7 @@ def start_model(examples: list[tuple[str, str]], docs_with: np.ndarray, n_docs:
     own = seen / np.maximum(seen.sum(1, keepdims=True), 1)
     frequency = docs_with[used] / max(n_docs, 1)
     weights = np.zeros((len(used), len(names) + 1))
-    weights[:, :-1] = np.where((spread > 0)[:, None], np.where((spread <= 2)[:, None], own, 0.0), 1.0 / len(names)) * frequency[:, None]
+    weights[:, :-1] = np.where((spread > 0)[:, None], np.where((spread <= 2)[:, None], own, 0.0), 1.0 / max(len(names), 1)) * frequency[:, None]
     weights[:, -1] = frequency * np.where(spread > 2, 1.0, 0.1)
     return TopicModel(index, weights + 1e-7, [*names, None])
 
@@ -296,7 +296,10 @@ def assign_subjects(docs: DataFrame, examples: DataFrame, id_col: str = "doc_id"
     read on the driver: a list of short texts, not part of the corpus.
     """
     given = [(r["subject"], r["body"]) for r in examples.select("subject", "body").collect() if r["subject"] and r["body"]]
+    if not given:
+        return docs.limit(0).select(F.col(id_col).cast("bigint").alias(id_col), F.lit("").alias("subject"), F.lit(0.0).alias("share"))
     table = materialise(bags(docs, id_col, text_col), "bags")
-    model = fit(table, given)
-    shares = subject_shares(table, model).groupBy("row_id", "subject").agg(F.sum("share").alias("share")) if len(set(filter(None, model.subjects))) < len(model.subjects) - 1 else subject_shares(table, model)
+    shares = subject_shares(table, fit(table, given))
+    # Two topics may have come to mean one subject.
+    shares = shares.groupBy("row_id", "subject").agg(F.sum("share").alias("share"))
     return shares.filter(F.col("share") >= LEAST_SENTENCES).select(F.col("row_id").alias(id_col), "subject", "share")
