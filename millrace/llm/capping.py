@@ -70,7 +70,7 @@ def cap_contributors(
         return df
     best: Column = F.when(F.isnan(F.col(quality)), F.lit(None)).otherwise(F.col(quality))
     order = W.partitionBy(*contributor).orderBy(best.desc_nulls_last(), F.col(id_col).asc())
-    return df.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= min(levels)).drop("_rank")
+    return df.withColumn("_millrace_rank", F.row_number().over(order)).filter(F.col("_millrace_rank") <= min(levels)).drop("_millrace_rank")
 
 
 def cut_by_cap(df: DataFrame, contributor: list[str], quality: str, id_col: str, **limits) -> DataFrame:
