@@ -20,9 +20,13 @@ import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from millrace.functions.urls import site
+from millrace.plans.lineage import materialise
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
@@ -48,6 +52,7 @@ _NOT_IN_P = frozenset(
     "address article aside blockquote center details dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul".split()
 )
 _BLANK = re.compile(r"\s+")
+_DIGITS = re.compile(r"\d+")
 
 
 class Page:
@@ -216,7 +221,6 @@ def align(lines: list[str], blocks: list[str]) -> list[int]:
     for i, block in enumerate(blocks):
         where.setdefault(block, []).append(i)
     tails: list[int] = []
-    ends: list[tuple[int, int]] = []  # line and its predecessor's entry
     tail_entry: list[int] = []
     entries: list[tuple[int, int, int]] = []  # line, block, previous entry
     for k, line in enumerate(lines):
@@ -231,7 +235,6 @@ def align(lines: list[str], blocks: list[str]) -> list[int]:
             else:
                 tails[at] = block
                 tail_entry[at] = len(entries) - 1
-    del ends
     found = [-1] * len(lines)
     entry = tail_entry[-1] if tail_entry else -1
     while entry >= 0:
@@ -240,92 +243,137 @@ def align(lines: list[str], blocks: list[str]) -> list[int]:
     return found
 
 
-def _densest_run(lines: list[str]) -> list[bool]:
-    """Main body of lines without a DOM: the run of largest sum, where a line
-    weighs its characters less what a menu entry has."""
-    weights = [len(x) - 22 if x else 0 for x in lines]
-    best = (0, 0, -1)
-    total = start = 0
+def _densest_run(weights: list[float]) -> list[bool]:
+    """The run of lines of largest sum, as the main body of lines without a DOM."""
+    best, total, start = (0.0, 0, -1), 0.0, 0
     for i, w in enumerate(weights):
         if total <= 0:
-            total, start = 0, i
+            total, start = 0.0, i
         total += w
         if total > best[0]:
             best = (total, start, i)
-    return [best[1] <= i <= best[2] for i in range(len(lines))]
+    return [best[1] <= i <= best[2] for i in range(len(weights))]
 
 
-def inside_main(text: str, html: str | None) -> list[bool]:
-    """For each line of ``text`` whether it belongs to the main body.
+def inside_main(text: str, html: str | None) -> list[bool] | None:
+    """For each line of ``text`` whether it belongs to the main body; None where the DOM can't tell.
 
     Lines that meet no block of the DOM go with their neighbours: inside if
-    the nearest lines met on both sides are.  Without usable ``html`` the
-    densest run of lines is the body.
+    the nearest lines met on both sides are.  The DOM can't tell if there is
+    none or if it meets less than a third of the lines.
     """
     lines = [_plain(x) for x in text.split("\n")]
     page = Page(html) if html else None
     if page is None or not page.blocks:
-        return _densest_run(lines)
-    at = align(lines, [_plain(b) for b in page.blocks])
-    met = [i for i, b in enumerate(at) if b >= 0]
-    if len(met) * 3 < sum(1 for x in lines if x):
-        return _densest_run(lines)
-    label = [page.inside[b] if b >= 0 else None for b in at]
+        return None
+    blocks = [_plain(b) for b in page.blocks]
+    at = align(lines, blocks)
+    if sum(b >= 0 for b in at) * 3 < sum(1 for x in lines if x):
+        return None
     known = {i: page.inside[b] for i, b in enumerate(at) if b >= 0}
     where: dict[str, bool] = {}
-    for b, own in zip(page.blocks, page.inside):
-        where.setdefault(_plain(b), own)
-    before = None
+    for b, own in zip(blocks, page.inside):
+        where.setdefault(b, own)
     after_of: list[bool | None] = [None] * len(lines)
-    after = None
+    before = after = None
     for i in range(len(lines) - 1, -1, -1):
         after_of[i] = after
         after = known.get(i, after)
+    out = []
     for i, line in enumerate(lines):
-        if label[i] is None and line:
-            if line in where:
-                label[i] = where[line]
-            else:
-                sides = [x for x in (before, after_of[i]) if x is not None]
-                label[i] = all(sides) if sides else True
+        if i in known or not line:
+            out.append(known.get(i, False))
+        elif line in where:
+            out.append(where[line])
+        else:
+            sides = [x for x in (before, after_of[i]) if x is not None]
+            out.append(all(sides) if sides else True)
         before = known.get(i, before)
-    return [bool(x) for x in label]
-
-
-_FOUND = "page_id bigint, line_no int"
+    return out
+
+
+#: Weight of a line on which the site's other pages agree or that is the page's title, and length of a line as likely within as without.
+VOTE, EVEN_LENGTH = 60.0, 22
+#: Lines that read like sentences or entries of a list weigh a little, however short.
+_PROSE = re.compile(r"^[●・*]|^\d+\)|[。!?、]$")
+_LINES = "page_id bigint, line_no int, line_key bigint, weight double, inside boolean"
+
+
+def _own_weight(plain: str, title: str) -> float:
+    """What a line's own form says for the main body."""
+    if len(plain) >= 4 and plain in title:
+        return VOTE
+    return max(len(plain) - EVEN_LENGTH, 5.0 if _PROSE.search(plain) else -EVEN_LENGTH)
+
+
+def _label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    names = [x.split()[0] for x in _LINES.split(", ")]
+    for batch in batches:
+        ids: list[int] = []
+        numbers: list[int] = []
+        keys: list[int] = []
+        weights: list[float] = []
+        labels: list[bool | None] = []
+        for page_id, site_name, title, text, html in zip(*(c.to_pylist() for c in batch.columns)):
+            known = inside_main(text, html)
+            title = _plain(title or "")
+            seed = xxhash.xxh3_64_intdigest((site_name or "").encode())
+            for i, line in enumerate(text.split("\n")):
+                plain = _plain(line)
+                if line.strip():
+                    ids.append(page_id)
+                    numbers.append(i)
+                    keys.append(xxhash.xxh3_64_intdigest(_DIGITS.sub("0", plain).encode("utf-8", "surrogatepass"), seed) - (1 << 63))
+                    weights.append(0.0 if known else _own_weight(plain, title))
+                    labels.append(known[i] if known else None)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, pa.int64()), pa.array(numbers, pa.int32()), pa.array(keys, pa.int64()), pa.array(weights, pa.float64()), pa.array(labels, pa.bool_())], names
+        )
+
+
+def _decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of pages without a DOM, from their lengths and the votes on them."""
+    for batch in batches:
+        ids: list[int] = []
+        numbers: list[int] = []
+        for page_id, lines in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            lines = sorted(lines, key=lambda x: x["line_no"])
+            votes = [(x["n_in"] or 0) - (x["n_out"] or 0) for x in lines]
+            body = _densest_run([VOTE if v > 0 else -VOTE if v < 0 else x["weight"] for v, x in zip(votes, lines)])
+            for v, own, x in zip(votes, body, lines):
+                if v < 0 or (v == 0 and not own):
+                    ids.append(page_id)
+                    numbers.append(x["line_no"])
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(numbers, pa.int32())], ["page_id", "line_no"])
 
 
 def surrounding_lines(pages: DataFrame) -> DataFrame:
     """``page_id, line_no``: the non-empty lines of ``text`` outside the page's main body.
 
-    ``pages`` has ``page_id, text, html``; lines end at ``\\n`` and count from
-    0.  A null or empty text gives no rows; a null or empty html leaves the
-    lines' own lengths to tell the body.  Rows are independent, so repeated
-    rows give repeated results, and nothing is shuffled.
+    ``pages`` has ``page_id`` (unique),
+    ``page_url, title, text, html``; lines end at
+    ``\\n`` and count from 0.  A null or empty text gives no rows.  Where html
+    is null, empty or doesn't match the text, a line is judged as it is on the
+    other pages of its site, and a line met nowhere else by the run of long
+    lines it stands in.  Other columns are ignored.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids: list[int] = []
-            numbers: list[int] = []
-            for page_id, text, html in zip(*(c.to_pylist() for c in batch.columns)):
-                for i, (line, own) in enumerate(zip(text.split("\n"), inside_main(text, html))):
-                    if not own and line.strip():
-                        ids.append(page_id)
-                        numbers.append(i)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(np.array(numbers, np.int32))], ["page_id", "line_no"])
-
-    return pages.selectExpr("CAST(page_id AS BIGINT) AS page_id", "text", "html").filter("text <> ''").mapInArrow(run, _FOUND)
+    given = pages.select(F.col("page_id").cast("bigint").alias("page_id"), site("page_url").alias("site"), "title", "text", "html")
+    lines = materialise(given.filter("text <> ''").mapInArrow(_label, _LINES), "labels")
+    found = lines.filter("NOT inside").select("page_id", "line_no")
+    open_lines = lines.filter("inside IS NULL")
+    votes = (
+        lines.filter("inside IS NOT NULL")
+        .groupBy("line_key")
+        .agg(F.count_if("inside").alias("n_in"), F.count_if(~F.col("inside")).alias("n_out"))
+    )
+    judged = open_lines.join(votes, "line_key", "left")
+    by_page = judged.groupBy("page_id").agg(F.collect_list(F.struct("line_no", "weight", "n_in", "n_out")).alias("lines"))  # one page's lines
+    return found.unionByName(by_page.mapInArrow(_decide, "page_id bigint, line_no int"))
 
 
 def main_bodies(pages: DataFrame) -> DataFrame:
-    """``page_id, body``: each row's text without the lines outside the main body; a null text stays null."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for text, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                out.append(None if text is None else "\n".join(x for x, own in zip(text.split("\n"), inside_main(text, html)) if own))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["page_id", "body"])
-
-    return pages.selectExpr("CAST(page_id AS BIGINT) AS page_id", "text", "html").mapInArrow(run, "page_id bigint, body string")
+    """``page_id, body``: each row's text without the lines outside the main body, and without the empty lines at its ends then; a null text stays null."""
+    cut = surrounding_lines(pages).groupBy("page_id").agg(F.collect_set("line_no").alias("_cut"))
+    kept = F.filter(F.transform(F.split("text", "\n"), lambda x, i: F.when(~F.array_contains("_cut", i), x)), lambda x: x.isNotNull())
+    body = F.when(F.col("_cut").isNull(), F.col("text")).otherwise(F.regexp_replace(F.array_join(kept, "\n"), r"^\n+|\n+$", ""))
+    return pages.select("page_id", "text").join(cut, "page_id", "left").select("page_id", body.alias("body"))

@@ -79,9 +79,11 @@ def lines():
 def test_main_body(spark):
     assert inside_main("\n".join(lines()), PAGE) == [False, False, False, *[True] * 7, False, False]
     rows = [(1, "\n".join(lines()), PAGE), (2, None, PAGE), (3, "", PAGE), (4, "\n".join(lines()), None), (5, "a\nb", "<p>"), (6, "x", "<" * 50)]
-    df = spark.createDataFrame([(*r, 9) for r in rows], "page_id bigint, text string, html string, line_no int")
+    rows = [(i, f"https://a.example/{i}", "見出し - site", *r) for i, *r in rows] + [(7, None, None, "x", None)]
+    df = spark.createDataFrame([(*r, 9) for r in rows], "page_id bigint, page_url string, title string, text string, html string, line_no int")
     found = {(r.page_id, r.line_no) for r in surrounding_lines(df).collect()}
     assert {x for x in found if x[0] == 1} == {(1, 0), (1, 1), (1, 10), (1, 11)}
+    assert {x for x in found if x[0] == 4} == {(4, 0), (4, 1), (4, 10), (4, 11)}  # as on the site's other page
     assert not [x for x in found if x[0] in (2, 3)]
     bodies = {r.page_id: r.body for r in main_bodies(df).collect()}
     assert bodies[2] is None and bodies[1].startswith("見出し") and bodies[1].endswith("シェアする")
