@@ -153,3 +153,54 @@ def fetch_images(pairs: DataFrame, fetch: Fetch, resize: Callable[[bytes], tuple
 
     schema = T.StructType([*(pairs.schema[c] for c in carried), *struct("jpg BINARY, status STRING, original_width INT, original_height INT").fields])
     return pairs.select(*carried).mapInArrow(run, schema)
+
+
+def first_files(spark: SparkSession, pattern: str, n: int) -> list[str]:
+    """The first ``n`` files of a glob by name."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(conf).globStatus(path) or []
+    return sorted(f.getPath().toString() for f in found if f.isFile())[:n]
+
+
+def npy_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """``file, row, vector`` of two-dimensional ``.npy`` arrays; one file is one task's."""
+    import io
+
+    import numpy as np
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                array = np.load(io.BytesIO(data), allow_pickle=False)
+                for at in range(0, len(array), 10_000):
+                    part = np.ascontiguousarray(array[at : at + 10_000], np.float32)
+                    lists = pa.ListArray.from_arrays(np.arange(len(part) + 1, dtype=np.int32) * part.shape[1], pa.array(part.ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(part)), pa.array(np.arange(at, at + len(part))), lists], ["file", "row", "vector"])
+
+    files = spark.read.format("binaryFile").load(path).select("path", "content")
+    return files.mapInArrow(run, "file string, row bigint, vector array<float>")
+
+
+def newline_counts(spark: SparkSession, paths: list[str], chunk: int = 1 << 20) -> DataFrame:
+    """``file, n``: newline bytes of each file, read in chunks, so an unterminated last line isn't counted.
+
+    Files that can't be read count 0.  Paths must be open to every executor.
+    """
+    from millrace.sources.warc import open_file
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts = []
+            for path in batch.column(0).to_pylist():
+                n = 0
+                try:
+                    with open_file(path) as f:
+                        while part := f.read(chunk):
+                            n += part.count(b"\n")
+                except OSError:
+                    n = 0
+                counts.append(n)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], ["file", "n"])
+
+    return spark.createDataFrame([(p,) for p in paths], "file string").repartition(max(1, len(paths))).mapInArrow(run, "file string, n bigint")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -48,3 +48,9 @@ def run_stage(spark: SparkSession, make, path: str, overwrite: bool = False) ->
     if overwrite or not exists(spark, path):
         make().write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def observed(df: DataFrame, name: str, **metrics) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of ``rows`` and the given aggregates, filled by the first action on it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows"), *[m.alias(k) for k, m in metrics.items()]), seen
