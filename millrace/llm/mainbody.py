@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.urls import site
 from millrace.plans.lineage import materialise
+from millrace.plans.skew import join_hot_aware
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
@@ -360,13 +361,13 @@ def surrounding_lines(pages: DataFrame) -> DataFrame:
     given = pages.select(F.col("page_id").cast("bigint").alias("page_id"), site("page_url").alias("site"), "title", "text", "html")
     lines = materialise(given.filter("text <> ''").mapInArrow(_label, _LINES), "labels")
     found = lines.filter("NOT inside").select("page_id", "line_no")
-    open_lines = lines.filter("inside IS NULL")
+    open_lines = lines.filter("inside IS NULL").select("page_id", "line_no", "line_key", "weight")
     votes = (
-        lines.filter("inside IS NOT NULL")
-        .groupBy("line_key")
-        .agg(F.count_if("inside").alias("n_in"), F.count_if(~F.col("inside")).alias("n_out"))
+        lines.groupBy("line_key")
+        .agg(F.count_if("inside").alias("n_in"), F.count_if(~F.col("inside")).alias("n_out"), F.count_if(F.col("inside").isNull()).alias("n_open"))
+        .filter("n_open > 0")
     )
-    judged = open_lines.join(votes, "line_key", "left")
+    judged = join_hot_aware(open_lines, votes, "line_key", "page_id", "n_open", open_lines.count())
     by_page = judged.groupBy("page_id").agg(F.collect_list(F.struct("line_no", "weight", "n_in", "n_out")).alias("lines"))  # one page's lines
     return found.unionByName(by_page.mapInArrow(_decide, "page_id bigint, line_no int"))
 
