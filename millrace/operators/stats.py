@@ -30,14 +30,13 @@ def group_statistics(counts: DataFrame) -> DataFrame:
 
 def group_histogram(counts: DataFrame, bins: int = 50) -> DataFrame:
     """``bin, n_groups``: equal-width bins from 1 over the groups' sizes, the last closed on both sides; one bin if all sizes are equal."""
-    ends = counts.agg(F.min("n").alias("_low"), F.max("n").alias("_high"))
+    low, high = counts.agg(F.min("n")).scalar(), counts.agg(F.max("n")).scalar()
+    sizes = counts.groupBy("n").agg(F.count("*").alias("_groups")).select("n", "_groups", low.alias("_low"), high.alias("_high"))
     width = (F.col("_high") - F.col("_low")) / F.lit(bins)
     number = F.when(F.col("_high") == F.col("_low"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("n") - F.col("_low")) / width) + 1, F.lit(bins))
     )
-    # One row of bounds to every size.
-    sizes = counts.groupBy("n").agg(F.count("*").alias("_groups"))
-    return sizes.join(F.broadcast(ends)).select(number.cast("int").alias("bin"), "_groups").groupBy("bin").agg(F.sum("_groups").alias("n_groups"))
+    return sizes.select(number.cast("int").alias("bin"), "_groups").groupBy("bin").agg(F.sum("_groups").alias("n_groups"))
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
