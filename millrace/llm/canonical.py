@@ -79,16 +79,12 @@ def hash_records(df: DataFrame, id_col: str, text_fields: list[str], url_fields:
 
 
 def copy_groups(hashed: DataFrame) -> DataFrame:
-    """One row per record: ``h1, h2, keep_id, copies, collisions``.
+    """One row per record: ``h1, h2, proof, keep_id, copies``, counted with partial sums before the shuffle.
 
-    Counted with partial sums before the shuffle.  ``collisions`` is 1 where
-    two different records share the 128-bit hash, seen by their proofs; such
-    groups would be split by the proof, so none is merged wrongly.
+    Two records that shared the 128-bit hash would differ in their proofs and
+    make two rows, so none is merged wrongly; :func:`collision_count` reports them.
     """
-    return (
-        hashed.groupBy("h1", "h2", "proof")
-        .agg(F.min("row_id").alias("keep_id"), F.count("*").alias("copies"))
-    )
+    return hashed.groupBy("h1", "h2", "proof").agg(F.min("row_id").alias("keep_id"), F.count("*").alias("copies"))
 
 
 def collapse_records(df: DataFrame, id_col: str, text_fields: list[str], url_fields: list[str]) -> tuple[DataFrame, DataFrame]:

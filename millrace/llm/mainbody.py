@@ -18,6 +18,7 @@ import math
 import re
 import unicodedata
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,7 +31,7 @@ from millrace.plans.lineage import materialise
 from millrace.plans.skew import join_hot_aware
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.DOTALL
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([A-Za-z][A-Za-z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>", re.DOTALL
 )
 #: HTML element kinds (fixed values).
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -79,6 +80,7 @@ class Page:
         links = link_chars = link_tags = 0
         at, body, skipped = 0, 0, ""
         parent, name = self.parent, self.name
+        opened: Counter[str] = Counter()  # open elements by name
 
         def flush() -> None:
             nonlocal link_chars, link_tags
@@ -98,6 +100,7 @@ class Page:
         def close_to(depth: int) -> None:
             while len(stack) > depth:
                 child = stack.pop()
+                opened[name[child]] -= 1
                 up = stack[-1]
                 self.chars[up] += self.chars[child]
                 self.tags[up] += self.tags[child] + 1
@@ -143,7 +146,7 @@ class Page:
                     self.tags[stack[-1]] += 1
                 continue
             if closing:
-                for depth in range(len(stack) - 1, 0, -1):
+                for depth in range(len(stack) - 1 if opened[tag] else 0, 0, -1):
                     if name[stack[depth]] == tag:
                         close_to(depth)
                         break
@@ -168,6 +171,7 @@ class Page:
             for column in (self.chars, self.tags, self.link_chars, self.link_tags):
                 column.append(0)
             stack.append(len(parent) - 1)
+            opened[tag] += 1
             links = 0
         if at < len(html) and not skipped:
             tail = html[at:]

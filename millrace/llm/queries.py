@@ -130,6 +130,12 @@ def p7_groups(spark: SparkSession, d: str) -> DataFrame:
     return collapse_records(table(spark, d, "pair"), "pair_id", ["caption"], ["url"])[0]
 
 
+def p7_collisions(spark: SparkSession, d: str) -> DataFrame:
+    from millrace.llm.canonical import collision_count, hash_records
+
+    return collision_count(hash_records(table(spark, d, "pair"), "pair_id", ["caption"], ["url"]))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.tokens import encode_texts
 

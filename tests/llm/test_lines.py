@@ -96,4 +96,6 @@ def test_unclosed_and_table_pages():
     assert [b for b, own in zip(page.blocks, page.inside) if own][0] == "題"
     assert not page.inside[0] and not page.inside[-1]
     assert Page("").blocks == [] and Page("<script>x").blocks == []
+    for odd in ("<a " * 100_000, "<a href='" * 50_000, "<p>x" * 50_000, "<div>" * 50_000, "<!--" * 50_000):
+        assert len(Page(odd).blocks) == len(Page(odd).inside)
     assert align(["a", "b", "a"], ["a", "x", "b", "a"]) == [0, 2, 3]
