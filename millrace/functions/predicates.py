@@ -34,18 +34,25 @@ def _false(x: Column) -> Column:
     return F.coalesce(x, F.lit(False))
 
 
+def _known(condition: Column, *inputs: Column | str) -> Column:
+    """The condition, and FALSE where an input is null; unlike ``coalesce`` it reaches the scan as a filter."""
+    for x in inputs:
+        condition = _col(x).isNotNull() & condition
+    return condition
+
+
 def has_text(text: Column | str) -> Column:
     """Neither null nor empty."""
-    return _false(_col(text) != "")
+    return _known(_col(text) != "", text)
 
 
 def is_response(rec_type: Column | str) -> Column:
-    return _false(_col(rec_type) == "response")
+    return _known(_col(rec_type) == "response", rec_type)
 
 
 def is_html_type(content_type: Column | str) -> Column:
     """The content type contains ``html``, in this case; a missing one doesn't."""
-    return _false(F.contains(_col(content_type), F.lit("html")))
+    return _known(F.contains(_col(content_type), F.lit("html")), content_type)
 
 
 def declares_language(html: Column | str, lang: str = "ja") -> Column:
@@ -59,11 +66,11 @@ def is_web_image(url: Column | str) -> Column:
 
 
 def succeeded(status: Column | str) -> Column:
-    return _false(_col(status) == "success")
+    return _known(_col(status) == "success", status)
 
 
 def large_enough(width: Column | str, height: Column | str, least: int = 150) -> Column:
-    return _false((_col(width) >= least) & (_col(height) >= least))
+    return _known((_col(width) >= least) & (_col(height) >= least), width, height)
 
 
 def fair_ratio(width: Column | str, height: Column | str, low: float = 0.5, high: float = 2.0, low_included: bool = True) -> Column:
@@ -74,12 +81,12 @@ def fair_ratio(width: Column | str, height: Column | str, low: float = 0.5, high
 
 def is_safe(punsafe: Column | str, below: float = 0.1) -> Column:
     """Strictly below; NaN isn't."""
-    return _false((_col(punsafe) < below) & ~F.isnan(_col(punsafe)))
+    return _known((_col(punsafe) < below) & ~F.isnan(_col(punsafe)), punsafe)
 
 
 def is_similar(similarity: Column | str, least: float = 0.1) -> Column:
     """At least; NaN isn't."""
-    return _false((_col(similarity) >= least) & ~F.isnan(_col(similarity)))
+    return _known((_col(similarity) >= least) & ~F.isnan(_col(similarity)), similarity)
 
 
 def first_word(text: Column | str, words: list[str]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -30,8 +31,10 @@ def group_statistics(counts: DataFrame) -> DataFrame:
 
 def group_histogram(counts: DataFrame, bins: int = 50) -> DataFrame:
     """``bin, n_groups``: equal-width bins from 1 over the groups' sizes, the last closed on both sides; one bin if all sizes are equal."""
-    low, high = counts.agg(F.min("n")).scalar(), counts.agg(F.max("n")).scalar()
-    sizes = counts.groupBy("n").agg(F.count("*").alias("_groups")).select("n", "_groups", low.alias("_low"), high.alias("_high"))
+    # N rows make at most sqrt(2 N) different sizes, so the bounds are found over few rows.
+    sizes = counts.groupBy("n").agg(F.count("*").alias("_groups"))
+    all_sizes = W.partitionBy(F.lit(0))
+    sizes = sizes.withColumn("_low", F.min("n").over(all_sizes)).withColumn("_high", F.max("n").over(all_sizes))
     width = (F.col("_high") - F.col("_low")) / F.lit(bins)
     number = F.when(F.col("_high") == F.col("_low"), F.lit(1)).otherwise(
         F.least(F.floor((F.col("n") - F.col("_low")) / width) + 1, F.lit(bins))
