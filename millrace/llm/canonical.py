@@ -54,7 +54,7 @@ _HASHED = "row_id bigint, h1 bigint, h2 bigint, proof bigint"
 def hash_records(df: DataFrame, id_col: str, text_fields: list[str], url_fields: list[str]) -> DataFrame:
     """``row_id, h1, h2`` (the 128-bit hash of the canonical record) and ``proof``, an independent hash.
 
-    Rows in which a field is null or empty as written are no records and give nothing.
+    Rows with a null id, or in which a field is null or empty as written, are no records and give nothing.
     """
     fields = [*sorted(text_fields), *sorted(url_fields)]
     makers = [canonical_text] * len(text_fields) + [canonical_url] * len(url_fields)
@@ -73,8 +73,8 @@ def hash_records(df: DataFrame, id_col: str, text_fields: list[str], url_fields:
             )
 
     rows = df.select(F.col(id_col).cast("bigint").alias("row_id"), *fields)
-    for field in fields:
-        rows = rows.filter(F.col(field) != "")
+    for field in ("row_id", *fields):
+        rows = rows.filter(F.col(field).isNotNull() if field == "row_id" else F.col(field) != "")
     return rows.mapInArrow(run, _HASHED)
 
 

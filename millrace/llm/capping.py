@@ -74,7 +74,8 @@ def cap_contributors(
 
 
 def cut_by_cap(df: DataFrame, contributor: list[str], quality: str, id_col: str, **limits) -> DataFrame:
-    """The ids that :func:`cap_contributors` leaves out."""
+    """The ids that :func:`cap_contributors` leaves out; rows with a null id take no part."""
+    df = df.filter(F.col(id_col).isNotNull())
     kept = cap_contributors(df, contributor, quality, id_col, **limits)
     return df.select(id_col).join(kept.select(id_col), id_col, "left_anti")
 

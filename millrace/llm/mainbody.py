@@ -357,13 +357,13 @@ def surrounding_lines(pages: DataFrame) -> DataFrame:
 
     ``pages`` has ``page_id`` (unique),
     ``page_url, title, text, html``; lines end at
-    ``\\n`` and count from 0.  A null or empty text gives no rows.  Where html
+    ``\\n`` and count from 0.  A null or empty text and a null id give no rows.  Where html
     is null, empty or doesn't match the text, a line is judged as it is on the
     other pages of its site, and a line met nowhere else by the run of long
     lines it stands in.  Other columns are ignored.
     """
     given = pages.select(F.col("page_id").cast("bigint").alias("page_id"), site("page_url").alias("site"), "title", "text", "html")
-    lines = materialise(given.filter("text <> ''").mapInArrow(_label, _LINES), "labels")
+    lines = materialise(given.filter("text <> '' AND page_id IS NOT NULL").mapInArrow(_label, _LINES), "labels")
     found = lines.filter("NOT inside").select("page_id", "line_no")
     open_lines = lines.filter("inside IS NULL").select("page_id", "line_no", "line_key", "weight")
     votes = (

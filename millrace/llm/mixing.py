@@ -159,13 +159,14 @@ def mix_sources(
 
     Shares: ``source, target_share, max_repeats, n_docs, n_tokens, copies,
     mix_tokens, share``, one row for each source of either table (null
-    source included).  Documents without a source or a target aren't mixed;
+    source included).  Documents without a source or a target aren't mixed, those with
+    a null id not even counted;
     null and empty texts have 0 tokens and are rounded like others.  The
     targets must be unique by source; they are read on the driver (a list of
     sources, not of documents).  The same rows and seed give the same mix.
     """
     sized = materialise(
-        token_counts(docs.select(F.col(id_col).cast("bigint").alias("row_id"), F.col(source_col).alias("source"), text_col), text_col, ["row_id", "source"], vocabulary),
+        token_counts(docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("row_id"), F.col(source_col).alias("source"), text_col), text_col, ["row_id", "source"], vocabulary),
         "sized",
     )
     per_source = sized.groupBy("source").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))

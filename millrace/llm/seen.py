@@ -213,10 +213,10 @@ def mark_seen(keys: DataFrame) -> DataFrame:
     Result: ``code, row_id, h1, h2, repeat, flagged``; ``flagged`` is the
     table's answer, ``repeat`` is set where the block before the shuffle knew
     already.  Order is by ``row_id`` within ``code``.  Null and empty values
-    are no keys and give no row; an empty input gives an empty result; two
+    are no keys, rows with a null id have no place in the order; both give no row; an empty input gives an empty result; two
     rows with one id and one value count as the first and its repeat.
     """
-    hashed = keys.filter(F.col("value") != "").select(
+    hashed = keys.filter((F.col("value") != "") & F.col("row_id").isNotNull()).select(
         F.col("code").cast("tinyint").alias("code"),
         F.col("row_id").cast("bigint").alias("row_id"),
         F.xxhash64("code", "value").alias("h1"),

@@ -109,7 +109,8 @@ def bags(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             lists = [pa.ListArray.from_arrays(pa.array(offsets), pa.array(x)) for x in (flat[kept], places)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.diff(before).astype(np.int32)), *lists], names)
 
-    return docs.selectExpr(f"CAST({id_col} AS BIGINT) AS row_id", text_col).mapInArrow(run, _BAGS)
+    rows = docs.selectExpr(f"CAST({id_col} AS BIGINT) AS row_id", text_col).filter("row_id IS NOT NULL")
+    return rows.mapInArrow(run, _BAGS)
 
 
 def _columns(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -290,8 +291,8 @@ def subject_shares(table: DataFrame, model: TopicModel) -> DataFrame:
 def assign_subjects(docs: DataFrame, examples: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, subject, share``: the subjects that a quarter or more of a document's sentences are about.
 
-    None, one or several rows a document; null, empty and blank texts have
-    none, nor has any document of an empty corpus or without examples.
+    None, one or several rows a document; null, empty and blank texts
+    and rows with a null id have none, nor has any document of an empty corpus or without examples.
     Repeated rows are assigned alike.  ``examples`` (``subject, body``) is
     read on the driver: a list of short texts, not part of the corpus.
     """

@@ -33,10 +33,10 @@ def test_texts():
 
 def test_groups_against_brute_force_with_hot_group(spark):
     rows = [(i, ["Ａ b", "a-b", "AB", f"x{i % 40}", "hot！"][i % 5], ["http://h/1", "http://h/1/", "HTTP://H:80/1"][i % 3] if i % 5 else f"http://h/{i % 7}") for i in range(600)]
-    rows += [(700, None, "http://h"), (701, "", "http://h"), (702, "a", None), (703, "。", "http://h"), (704, "、", "http://h"), (705, "z" * 40000, "u"), (706, "Z" * 40000, "u")]
+    rows += [(None, "hot", "http://h/1"), (700, None, "http://h"), (701, "", "http://h"), (702, "a", None), (703, "。", "http://h"), (704, "、", "http://h"), (705, "z" * 40000, "u"), (706, "Z" * 40000, "u")]
     groups = defaultdict(list)
     for i, c, u in rows:
-        if c and u:
+        if c and u and i is not None:
             groups[canonical_text(c), canonical_url(u)].append(i)
     want = {(min(g), i) for g in groups.values() for i in g if i != min(g)}
     df = spark.createDataFrame([(*r, 0) for r in rows], "pair_id bigint, caption string, url string, h1 int").repartition(4)

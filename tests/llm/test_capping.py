@@ -29,6 +29,8 @@ def test_caps_with_ties_nulls_and_nan(spark):
     kept = {r.id for r in cap_contributors(df, ["who"], "q", "id", max_count=3).collect()}
     assert kept == {20, 0, 1, 30, 31, 32}
     assert {r.id for r in cut_by_cap(df, ["who"], "q", "id", max_count=10).collect()} == {22}
+    nameless = df.unionByName(spark.createDataFrame([(None, "a", 0.0, 1)], SCHEMA + ", n int"))
+    assert {r.id for r in cut_by_cap(nameless, ["who"], "q", "id", max_count=10).collect()} == {22}
     assert cap_contributors(df, ["who"], "q", "id").count() == len(rows)
     assert cap_contributors(df, ["who"], "q", "id", max_share=0.4).count() == sum(min(n, brute_level([11, 1, 2], 0.4)) for n in (11, 1, 2))
     assert cap_contributors(df.limit(0), ["who"], "q", "id", max_share=0.4).count() == 0

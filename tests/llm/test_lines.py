@@ -14,13 +14,13 @@ def brute(rows, least=6):
         return re.sub(r"\d+", "0", re.sub(r"\s+", "", unicodedata.normalize("NFKC", x).lower()))
 
     pages = {}
-    for _, url, text in rows:
+    for _, url, text in (r for r in rows if r[0] is not None):
         if url and text is not None and (host := (urlsplit(url).hostname or "").removeprefix("www.")):
             for line in text.split("\n"):
                 if canon(line):
                     pages.setdefault((host, canon(line)), set()).add(url)
     out = set()
-    for page_id, url, text in rows:
+    for page_id, url, text in (r for r in rows if r[0] is not None):
         host = (urlsplit(url).hostname or "").removeprefix("www.") if url else ""
         for i, line in enumerate(text.split("\n") if text is not None and host else []):
             if len(pages.get((host, canon(line)), ())) >= least:
@@ -38,7 +38,8 @@ def fixture():
         r.shuffle(lines)
         rows.append((i, f"{site}/p/{i % 150}", "\n".join(lines)))
     rows += [(900, None, "メニュー"), (901, "https://a.example/x", None), (902, "https://a.example/y", ""), (903, "not a url", "メニュー")]
-    return rows + [rows[3], (904, rows[3][1], rows[3][2])]
+    nameless = (None, "https://a.example/p/1", "menu")
+    return [nameless, *rows, rows[3], (904, rows[3][1], rows[3][2])]
 
 
 def test_repeated_lines_against_brute_force(spark):
@@ -46,7 +47,7 @@ def test_repeated_lines_against_brute_force(spark):
     df = spark.createDataFrame([(*r, "x") for r in rows], PAGES + ", site string").repartition(3)
     found = [(r.page_id, r.line_no) for r in repeated_lines(df).collect()]
     assert set(found) == brute(rows)
-    cut = {r.page_id: r for r in without_repeated_lines(spark.createDataFrame(rows[:-2], PAGES)).collect()}
+    cut = {r.page_id: r for r in without_repeated_lines(spark.createDataFrame(rows[1:-2], PAGES)).collect()}
     assert cut[901].text is None and cut[901].lines_cut == 0 and cut[902].text == ""
     assert "固有" + chr(0x4e07) in cut[7].text and "menu" not in cut[7].text.lower()
     assert repeated_lines(df.limit(0)).count() == 0
@@ -79,7 +80,7 @@ def lines():
 def test_main_body(spark):
     assert inside_main("\n".join(lines()), PAGE) == [False, False, False, *[True] * 7, False, False]
     rows = [(1, "\n".join(lines()), PAGE), (2, None, PAGE), (3, "", PAGE), (4, "\n".join(lines()), None), (5, "a\nb", "<p>"), (6, "x", "<" * 50)]
-    rows = [(i, f"https://a.example/{i}", "見出し - site", *r) for i, *r in rows] + [(7, None, None, "x", None)]
+    rows = [(i, f"https://a.example/{i}", "見出し - site", *r) for i, *r in rows] + [(7, None, None, "x", None), (None, "https://a.example/n", None, "x", None)]
     df = spark.createDataFrame([(*r, 9) for r in rows], "page_id bigint, page_url string, title string, text string, html string, line_no int")
     found = {(r.page_id, r.line_no) for r in surrounding_lines(df).collect()}
     assert {x for x in found if x[0] == 1} == {(1, 0), (1, 1), (1, 10), (1, 11)}

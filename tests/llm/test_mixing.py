@@ -32,7 +32,7 @@ def test_pivotal_keeps_the_sum_and_the_expectations():
 
 @pytest.mark.skipif(not os.path.exists(DEFAULT_VOCABULARY), reason="no vocabulary file")
 def test_mix(spark):
-    rows = [(i, f"text number {i} " * (1 + i % 5), "ab"[i % 3 == 0]) for i in range(900)] + [(2000, None, "a"), (2001, "", "a"), (2002, "x", None), (2003, "x", "zz")]
+    rows = [(i, f"text number {i} " * (1 + i % 5), "ab"[i % 3 == 0]) for i in range(900)] + [(None, "x", "a"), (2000, None, "a"), (2001, "", "a"), (2002, "x", None), (2003, "x", "zz")]
     docs = spark.createDataFrame([(*r, 0) for r in rows], "doc_id bigint, text string, source string, copies int").repartition(40)
     targets = spark.createDataFrame([("a", 0.7, 3), ("b", 0.3, 2), ("gone", 0.0, 2), ("none", 0.1, 4)], "source string, target_share double, max_repeats int")
     mix, shares = mix_sources(docs, targets)

@@ -11,9 +11,10 @@ BAD = [
 def test_residue(spark):
     captions = [*NATURAL, *GOOD, *BAD, None, "", "   ", "長い" * 20000]
     rows = [(i, c, "トラノ市場の朝食", "久しぶりに訪ねた市場。朝食を食べた。", True) for i, c in enumerate(captions)]
+    rows.append((None, "写真", None, None, True))
     df = spark.createDataFrame(rows, "pair_id bigint, caption string, page_title string, text string, residue boolean")
     got = {r.row_id: r.residue for r in mark_residue(df).collect()}
-    assert len(got) == len(captions)
+    assert len(got) == len(captions) + 1 and got.pop(None) is False
     flagged = {captions[i] for i, bad in got.items() if bad}
     assert len(flagged & set(BAD)) >= len(BAD) - 1
     assert not flagged & set(NATURAL) and len(flagged & set(GOOD)) <= 1

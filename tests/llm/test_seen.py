@@ -9,23 +9,23 @@ SCHEMA = "code tinyint, row_id bigint, value string"
 
 def brute(rows):
     first = {}
-    for code, row, value in sorted(rows, key=lambda r: r[1]):
+    for code, row, value in sorted((r for r in rows if r[1] is not None), key=lambda r: r[1]):
         if value:
             first.setdefault((code, value), row)
-    return {(c, r) for c, r, v in rows if v and r > first[c, v]}
+    return {(c, r) for c, r, v in rows if v and r is not None and r > first[c, v]}
 
 
 def test_against_brute_force_with_hot_key_and_late_rows(spark):
     random = np.random.default_rng(3)
     ids = random.permutation(4000)
     rows = [(1 + int(i) % 3, int(i), "hot" if random.random() < 0.35 else f"v{int(random.integers(900))}") for i in ids]
-    rows += [(1, 9001, None), (1, 9002, ""), (2, 9003, "é" * 5000), (2, 9004, "é" * 5000)]
+    rows += [(1, None, "hot"), (1, 9001, None), (1, 9002, ""), (2, 9003, "é" * 5000), (2, 9004, "é" * 5000)]
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     found, audit = seen_before(df)
     assert {(r.code, r.row_id) for r in found.collect()} == brute(rows)
     by = {r.code: r for r in audit.collect()}
     assert sum(r.repeated for r in by.values()) == len(brute(rows))
-    assert sum(r.rows for r in by.values()) == sum(1 for r in rows if r[2])
+    assert sum(r.rows for r in by.values()) == sum(1 for r in rows if r[2] and r[1] is not None)
     assert all(0 <= r.wrong_share < 0.01 for r in by.values())
 
 

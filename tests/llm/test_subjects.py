@@ -27,7 +27,7 @@ def test_held_out_accuracy(spark):
         two = i % 3 == 0
         rows.append((i, text(r, a, 5, b, 4 if two else 1, 2), "x"))
         truth[i] = {a, b} if two else {a}
-    rows += [(900, None, ""), (901, "", ""), (902, "  \n", ""), (903, "".join(NEUTRAL), "")]
+    rows += [(None, "判決文", ""), (900, None, ""), (901, "", ""), (902, "  \n", ""), (903, "".join(NEUTRAL), "")]
     # The examples show half of each subject's terms.
     examples = [(s, "".join(f"{t}の話が続いた。" for t in TERMS[s][:4])) for s in names]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string, subject string").repartition(4)

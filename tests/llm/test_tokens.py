@@ -39,6 +39,8 @@ def test_heap_and_recursive_query_agree():
 
 def test_operator_keeps_rows_and_clashing_columns(spark):
     rows = [(i, t, "x") for i, t in enumerate(TEXTS)] + [(0, TEXTS[0], "again")]
+    nameless = spark.createDataFrame([(None, "x", "")], "doc_id bigint, text string, ids string")
+    assert len(encode_texts(nameless).first().ids) == 1
     df = spark.createDataFrame(rows, "doc_id bigint, text string, ids string")
     got = encode_texts(df).collect()
     assert len(got) == len(rows)
