@@ -200,12 +200,12 @@ class Page:
         for node, c, lc, lt in self.runs:
             total[node] += self._density(c, 1, lc, lt, ratio)
         best = max(range(n), key=lambda i: (total[i], -i))
-        # The threshold of the body's path: widen while a wider subtree is as dense as the best's own path asks.
-        path, i = [best], best
-        while i != self.body and self.parent[i] >= 0:
-            i = self.parent[i]
-            path.append(i)
-        self.best, self.threshold = best, min(density[i] for i in path)
+        # Widen along the path to the body while a subtree is nearer to the best's density than to the body's:
+        # headings beside the block of paragraphs come in, menus don't.
+        threshold = (density[best] + density[self.body]) / 2
+        while (up := self.parent[best]) > 0 and up != self.body and density[up] >= threshold:
+            best = up
+        self.best = best
         under = [False] * n
         under[best] = True
         for i in range(best + 1, n):  # children come after their parents

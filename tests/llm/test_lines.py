@@ -91,6 +91,13 @@ def test_main_body(spark):
     assert surrounding_lines(df.limit(0)).count() == 0
 
 
+def test_heading_beside_the_paragraphs():
+    body = "".join(f"<p>{'本文の長い段落が続きます。' * 5}{i}</p>" for i in range(5))
+    nested = f"<body><ul><li><a href=1>メニュー</a><li><a href=2>地図</a></ul><div><h1>題名</h1><div>{body}</div><p>シェアする</p></div><div><a href=3>規約</a><br>© x</div></body>"
+    page = Page(nested)
+    assert page.inside == [False, False, True, *[True] * 5, True, False, False]
+
+
 def test_unclosed_and_table_pages():
     table = "<table><tr><td><a href=1>メニュー</a><br><a href=2>地図</a><td><font size=4><b>題</b></font><br>" + "<br><br>".join(["本文が続く長い行です。" * 4] * 4) + "<td><a href=3>規約</a></table>"
     page = Page(table)
