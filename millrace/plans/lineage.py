@@ -8,9 +8,11 @@ notebook on one machine) a folder of our own is used.
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 _written: set[str] = set()
@@ -28,34 +30,35 @@ def shared_folder(spark: SparkSession) -> str:
     return _own_folder
 
 
-def _forget(spark: SparkSession, path: str) -> None:
+def _remove(path: str) -> None:
     try:
-        jvm = spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(path)
-        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-    except Exception:  # the session may be gone already
-        pass
-    _written.discard(path)
+        context = SparkContext._active_spark_context
+        target = context._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+    except Exception:  # the session is gone; only local folders can still be reached
+        if path.startswith(("file:", "/")):
+            shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
 
 
-def _forget_all() -> None:
-    spark = SparkSession.getActiveSession()
-    if spark is not None:
-        for path in list(_written):
-            _forget(spark, path)
-
-
-atexit.register(_forget_all)
+def release() -> None:
+    """Removes all tables written so far; results that haven't been computed yet can't be afterwards."""
+    for path in list(_written):
+        _remove(path)
+        _written.discard(path)
 
 
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and return a DataFrame that reads it back.
 
     The result has the columns and rows of ``df``; an empty ``df`` keeps its
-    schema.  The files are removed when the Python process ends.
+    schema.  The files are removed when the Python process ends, or by :func:`release`.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/millrace/{label}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    if not _written:
+        # Handlers run last in, first out: registered now, this one still finds the context.
+        atexit.unregister(release)
+        atexit.register(release)
     _written.add(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

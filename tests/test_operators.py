@@ -206,3 +206,17 @@ def test_streams(spark, tmp_path):
         keep = lambda df: stages.first_seen_stream(df, "url")
         stages.stream_stage(spark, source, schema, keep, str(tmp_path / "f"), str(tmp_path / "c2")).awaitTermination()
     assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "f")).collect()) == ["a", "b", "c"]
+
+
+def test_materialise_and_release(spark, tmp_path):
+    from millrace.plans import lineage
+
+    before = set(lineage._written)
+    df = lineage.materialise(spark.range(3).withColumn("x", F.lit(None).cast("string")), "t")
+    path = next(iter(lineage._written - before)).removeprefix("file://")
+    assert df.count() == 3 and df.schema.names == ["id", "x"]
+    assert lineage.materialise(df.limit(0), "t").schema == df.schema
+    kept = set(lineage._written)
+    lineage._remove(path)
+    assert not os.path.exists(path)
+    lineage._written &= kept
