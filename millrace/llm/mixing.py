@@ -163,7 +163,7 @@ def mix_sources(
     a null id not even counted;
     null and empty texts have 0 tokens and are rounded like others.  The
     targets must be unique by source; they are read on the driver (a list of
-    sources, not of documents).  The same rows and seed give the same mix.
+    sources, not of documents).  The same rows, parted alike, and seed give the same mix.
     """
     sized = materialise(
         token_counts(docs.filter(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("row_id"), F.col(source_col).alias("source"), text_col), text_col, ["row_id", "source"], vocabulary),
