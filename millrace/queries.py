@@ -191,6 +191,13 @@ def json_fields(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "events").select("event_id", F.from_json("props", "k BIGINT")["k"].alias("k"))
 
 
+@query("SELECT doc_id, text FROM documents WHERE text IS NOT NULL")
+def decode_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Texts read back from their bytes."""
+    raw = table(spark, d, "documents").select("doc_id", F.encode("text", "UTF-8").alias("raw")).filter("raw IS NOT NULL")
+    return raw.select("doc_id", X.decode_bytes("raw").alias("text"))
+
+
 # Text and URL predicates
 
 
