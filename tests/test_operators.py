@@ -220,3 +220,22 @@ def test_materialise_and_release(spark, tmp_path):
     lineage._remove(path)
     assert not os.path.exists(path)
     lineage._written &= kept
+
+
+def test_package_reaches_the_workers(spark):
+    import zipfile
+
+    from millrace import session
+
+    session.ship(spark)
+    session.ship(spark)
+
+    def where(batches):
+        import millrace
+        import pyarrow as pa
+
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([millrace.__file__])], ["x"])
+
+    assert "millrace" in spark.range(1).mapInArrow(where, "x string").first().x
+    assert zipfile.is_zipfile(next(f for f in spark.sparkContext._python_includes and [__import__("pyspark").SparkFiles.get("millrace.zip")]))
