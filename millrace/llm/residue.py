@@ -7,7 +7,7 @@ wherever it stands; filler and notices count when their windows cover enough
 of the caption, since descriptions may mention such words.
 
 The residue models are fitted to the short examples below, the natural one to
-all rows.  It is of lower order, so that it knows the letters of the residue
+the distinct values of all rows.  It is of lower order, so that it knows the letters of the residue
 among those rows but not its phrases.
 """
 
@@ -70,6 +70,8 @@ BACK_OFF = 1e-3
 PROSE_WEIGHT, CONTRAST_SHARE = 0.2, 5e-8
 #: Window sums (nats) that a slot, an empty value, an opening of filler and a filler or notice need, and the share of the caption the last must cover.
 SLOT_SUM, EMPTY_SUM, OPENING_SUM, NOTICE_SUM, COVERAGE = 10.0, 10.0, 20.0, 7.0, 0.42
+#: What copies of a caption can speak for it at most (nats): enough for a short general word, not for residue that many rows have.
+COPIES_SUM = 8.0
 #: A window ends where its sum has fallen so far below its best.
 DROP = 8.0
 
@@ -81,6 +83,12 @@ def _fitted(texts: list[tuple[list[str], float]]) -> Model:
     return Model(counts, 0.35)
 
 
+def _natural_model(counts: np.ndarray) -> Model:
+    counts = np.concatenate([counts, np.zeros((ORDER - len(counts), 1 << BITS))]).astype(np.float64)
+    add_counts(counts, CONTRAST, max(1.0, counts[0].sum() * CONTRAST_SHARE))
+    return Model(counts, max(3.0, counts[0].sum() * BACK_OFF), order=NATURAL_ORDER)
+
+
 def _residue_models() -> tuple[Model, ...]:
     slots = [pattern % name for pattern in SLOTS for name in NAMES]
     notices = [*FILLER, *NOTICES, *(pattern % code for pattern in CODED for code in CODES)]
@@ -125,12 +133,10 @@ def _stands_alone(text: str, start: int, end: int) -> bool:
 
 
 class Detector:
-    """Says of captions whether they are, or contain, residue; ``natural`` are the corpus counts."""
+    """Says of captions whether they are, or contain, residue; ``natural`` are the counts of distinct values, ``copied`` those of all rows."""
 
-    def __init__(self, natural: np.ndarray):
-        natural = natural.astype(np.float64)
-        add_counts(natural, CONTRAST, max(1.0, natural[0].sum() * CONTRAST_SHARE))
-        self.natural = Model(natural, max(3.0, natural[0].sum() * BACK_OFF), order=NATURAL_ORDER)
+    def __init__(self, natural: np.ndarray, copied: np.ndarray):
+        self.natural, self.copied = _natural_model(natural), _natural_model(copied)
         self.slots, self.empties, self.openings, self.notices = _residue_models()
 
     def _judge(self, kind: str, text: str, windows: list[tuple[int, int, float]]) -> bool:
@@ -147,13 +153,15 @@ class Detector:
         grams = gram_indexes(codes)
         base = self.natural.log_probability(grams)
         real = codes != START
+        copies = np.where(real, self.copied.log_probability(grams) - base, 0.0)
         found = np.zeros(len(captions), bool)
         models = (("slot", self.slots, SLOT_SUM), ("empty", self.empties, EMPTY_SUM), ("empty", self.openings, OPENING_SUM), ("notice", self.notices, NOTICE_SUM))
         for kind, model, least in models:
             ratio = np.where(real, model.log_probability(grams) - base, 0.0)
             possible = np.add.reduceat(np.maximum(ratio, 0), edges[:-1]) >= least
             for k in np.flatnonzero(possible & ~found):
-                windows = _windows(ratio[edges[k] + ORDER - 1 : edges[k + 1]], least)
+                first = edges[k] + ORDER - 1
+                windows = [(a, b, x) for a, b, x in _windows(ratio[first : edges[k + 1]], least) if x - min(COPIES_SUM, max(0.0, copies[first + a : first + b].sum())) >= least]
                 found[k] = bool(windows) and self._judge(kind, folded[k], windows)
         return found
 
@@ -165,23 +173,26 @@ def _captions(batch: pa.RecordBatch, column: int) -> list[str]:
     return [c for c in batch.column(column).to_pylist() if c]
 
 
-def fit_natural(pairs: DataFrame, caption: str = "caption", title: str = "page_title", text: str = "text") -> np.ndarray:
-    """n-gram counts of all captions, titles and texts."""
-    prose = gather_counts(pairs.select(title, text), lambda batch: [_folded(x) for i in (0, 1) for x in batch.column(i).to_pylist() if x], NATURAL_ORDER)
-    return prose * PROSE_WEIGHT + gather_counts(pairs.select(caption), lambda batch: [_folded(x) for x in batch.column(0).to_pylist() if x], NATURAL_ORDER)
+def fit_natural(pairs: DataFrame, caption: str = "caption", title: str = "page_title", text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """n-gram counts of the distinct captions, titles and texts, and of those of all rows."""
+    fold = lambda batch: [_folded(x) for column in batch.columns for x in column.to_pylist() if x]
+    captions, titles, texts = (gather_counts(pairs.select(c).distinct(), fold, NATURAL_ORDER) for c in (caption, title, text))
+    every, prose = (gather_counts(pairs.select(*c), fold, NATURAL_ORDER) for c in ([caption], [title, text]))
+    return captions + (titles + texts) * PROSE_WEIGHT, every + prose * PROSE_WEIGHT
 
 
 def mark_residue(pairs: DataFrame, id_col: str = "pair_id", caption: str = "caption", title: str = "page_title", text: str = "text") -> DataFrame:
     """``row_id, residue``: one row for each row of ``pairs``.
 
     Null, empty and blank captions are no residue.  An empty table gives an
-    empty result.  Nothing but the bounded counts is shuffled.
+    empty result.  The distinct values of each column and the bounded counts
+    are shuffled.
     """
-    natural = fit_natural(pairs, caption, title, text)
-    shared = pairs.sparkSession.sparkContext.broadcast(natural.astype(np.float32))
+    natural = [x[:NATURAL_ORDER].astype(np.float32) for x in fit_natural(pairs, caption, title, text)]
+    shared = pairs.sparkSession.sparkContext.broadcast(natural)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        detector = Detector(shared.value)
+        detector = Detector(*shared.value)
         for batch in batches:
             captions = [c or "" for c in batch.column(1).to_pylist()]
             flagged = np.zeros(len(captions), bool)

@@ -20,3 +20,12 @@ def test_residue(spark):
     assert not flagged & set(NATURAL) and len(flagged & set(GOOD)) <= 1
     assert not flagged & {None, "", "   "}
     assert mark_residue(df.limit(0)).count() == 0
+
+
+def test_frequent_residue(spark):
+    natural = [f"{c}、{i}番目" for i, c in enumerate(NATURAL * 8)]
+    bad = ["undefined", "404 Not Found", "{{ alt }}"]
+    for one in bad:
+        captions = [*natural, *["写真"] * 50, *[one] * (len(natural) // 2)]
+        df = spark.createDataFrame([(i, c, None, None) for i, c in enumerate(captions)], "pair_id bigint, caption string, page_title string, text string")
+        assert {captions[r.row_id] for r in mark_residue(df).filter("residue").collect()} == {one}
