@@ -5,9 +5,9 @@ encoding were written as the letters of an unknown code page.  For each source
 (a site) expectation-maximization weighs the swaps of encoding and code page:
 the E-step reads every suspicious run under each swap and compares character
 bigrams of the language before and after, the M-step re-estimates how often the
-source has each swap and, from the runs' shares, which byte each letter stands
-for.  Runs that gain are garbled; ``str.translate`` with the learned table and
-the encoding's decoder give the original back.
+source has each swap.  Which byte each letter stands for isn't learned: the code
+pages are a fixed list.  Runs that gain are garbled; ``str.translate`` with the
+page's table and the encoding's decoder give the original back.
 
 Code pages of several bytes a character aren't substitutions of single
 letters; their runs go back to bytes by the code page itself.  Lost bytes
