@@ -1,13 +1,16 @@
 """Garbled text from wrong character encoding (problem 3).
 
-A wrong decoding is treated as a substitution cipher: bytes of an unknown
-encoding were written as the letters of an unknown code page.  For each source
-(a site) expectation-maximization weighs the swaps of encoding and code page:
-the E-step reads every suspicious run under each swap and compares character
-bigrams of the language before and after, the M-step re-estimates how often the
-source has each swap.  Which byte each letter stands for isn't learned: the code
-pages are a fixed list.  Runs that gain are garbled; ``str.translate`` with the
-page's table and the encoding's decoder give the original back.
+A wrong decoding is treated as a substitution cipher: bytes of an encoding
+were written as the letters of an unknown code page.  The runs of such letters
+are counted as letter n-grams by source (a site) and by the swap that reads
+them best, or by their script where none does; expectation-maximization then
+learns for each of these which byte every letter stands for (see
+:mod:`millrace.llm.ciphers`), over all sources together and for every source
+with enough of them.  Published code pages are the prior: a single garbled
+caption is read with it, many can overrule it, and runs that no published page
+reads start from nothing.  Runs that gain by the language's character bigrams
+are garbled; ``str.translate`` with the learned table and the encoding's
+decoder give the original back.
 
 Code pages of several bytes a character aren't substitutions of single
 letters; their runs go back to bytes by the code page itself.  Lost bytes
@@ -16,23 +19,28 @@ letters; their runs go back to bytes by the code page itself.  Lost bytes
 
 from __future__ import annotations
 
-import math
+import json
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.urls import site
-from millrace.llm.ngrams import BITS, ORDER, START, Model, codes_of, gather_counts, gram_indexes
+from millrace.llm import ciphers
+from millrace.llm.ngrams import START, Model, codes_of, gather_counts, gram_indexes
 from millrace.plans.lineage import materialise
+from millrace.plans.skew import join_hot_aware
 
-#: Code pages texts are wrongly read with (names of public codecs, fixed values).
+#: Published code pages that the learning of letters starts from (names of public codecs, fixed values).
 LETTER_PAGES = ("cp1252", "latin-1", "cp1251", "mac_roman", "koi8_r", "cp437", "cp1250", "iso8859_15")
-WIDE_PAGES = ("cp932", "euc_jp")
+#: Code pages of several bytes a character.
+WIDE_PAGES = ("cp932", "euc_jp", "gb18030")
 #: Encodings the texts had.
 ENCODINGS = ("utf-8", "cp932", "euc_jp")
 #: Characters of each encoding in bytes.
@@ -45,20 +53,21 @@ _UNITS = {
 GAIN, LEAST_MEAN = 9.0, -9.0
 #: Characters of a two-byte encoding that are no accident; in UTF-8, whose form is strict, one is enough.
 LEAST_CHARACTERS = 3
-EM_ROUNDS = 2
-#: Sites are taken together in so many sources by hash, so that what is learned has a bound however many sites there are.
-SOURCES = 1 << 14
+#: Share of a run's letters that the parts read by a swap must hold for the run to count as that swap's.
+READ_SHARE = 0.6
+#: Letter n-grams a source must have of a swap for letters of its own to be learned; fewer are learned from all sources together.
+LEAST_OWN = 500
 
 _LOST = re.compile("[�-]")
 _CONTROL = re.compile("[\x80-\x84\x86-\x9f]")
 #: Letters and symbols that code pages have beyond ASCII.
-_BEYOND = "\x80-ϿЀ-ԯ‐-⁞₠-⃏℀-⏿─-◿ﬀ-ﬆ"
+_BEYOND = "\x80-ϿЀ-ԯ\u0590-\u06ff\u0e00-\u0e7f‐-⁞₠-⃏℀-⏿─-◿ﬀ-ﬆ"
 #: Runs that may be letters of a code page: no kana or kanji, two or more from beyond ASCII
 #: (and what may be the last one's second byte).
 _LETTER_RUN = re.compile(f"[{_BEYOND}](?:[ -;=?-~{_BEYOND}]*[{_BEYOND}])[@-~]?")
 #: Runs that may be read with a wide code page: with half-width kana or the kanji that lead bytes of kana turn into.
 _WIDE_RUN = re.compile("[^\x00-\x7f]{2,}")
-_WIDE_SIGN = re.compile("[｡-ﾟ縺繧繝縲]")
+_WIDE_SIGN = re.compile("[｡-ﾟ縺繧繝縲銆銇銈銉]")
 #: Stretches that may hold ISO-2022-JP whose escape characters got lost: the designations stay as text.
 _PRINTED = re.compile(r"[!-~\x1b]+")
 _DESIGNATED = re.compile(r"\x1b?\$[B@]")
@@ -68,6 +77,7 @@ _TAG = re.compile(r"<[^>]*>")
 _SIGNS = re.compile(
     "[\x80-\x84\x86-\x9f�-｡-ﾟ縺繧繝縲]"
     "|[À-ɏЀ-ӿ][\x80-\xbf‐-›€™Ѓѓ]|[\xa1-\xbf\xd7\xf7]{2}|\\$[B@][!-~]{2}"
+    "|[À-ԯ][─-◿]|[─-◿][À-ԯ]"
 )
 
 
@@ -84,6 +94,22 @@ def letter_table(page: str) -> dict[int, int]:
 
 
 _TABLES = {page: letter_table(page) for page in LETTER_PAGES}
+_SWAPS = [(f"{e}>{page}", e, page) for page in LETTER_PAGES for e in ENCODINGS if e != page]
+_SCRIPTS = (("latin", "À", "ɏ"), ("greek", "Ͱ", "Ͽ"), ("cyrillic", "Ѐ", "ԯ"), ("hebrew", "\u0590", "\u05ff"), ("arabic", "\u0600", "\u06ff"), ("thai", "\u0e00", "\u0e7f"))
+
+
+def script_of(run: str) -> str:
+    """The script most of a run's letters are of; ``signs`` for none."""
+    found = Counter(next((name for name, a, b in _SCRIPTS if a <= c <= b), "signs") for c in run if c > "\x7f")
+    found["signs"] = 0
+    return min(found, key=lambda x: (-found[x], x))
+
+
+class _Letters(dict):
+    """A table for ``translate``: letters to bytes, ASCII as it is, other letters to 0."""
+
+    def __missing__(self, c: int) -> int:
+        return 0 if c > 0x7F else c
 
 
 class Language:
@@ -109,59 +135,68 @@ def _again(text: str) -> str:
         return text
 
 
-def _readings(run: str, wide: bool, tables: dict[str, dict[int, int]]) -> list[tuple[str, int, int, str]]:
-    """Swap name, start, end and original of each part of ``run`` that is well formed under a swap.
-
-    A swap whose name ends in ``!`` has read every letter of the run as UTF-8.
-    """
-    found = []
-    for page in WIDE_PAGES if wide else LETTER_PAGES:
-        if wide:
-            sizes, parts = [], []
-            for c in run:
-                try:
-                    b = c.encode(page)
-                except UnicodeEncodeError:
-                    b = b"\x00"
-                parts.append(b)
-                sizes.append(len(b))
-            data = b"".join(parts)
-            starts = np.append(0, np.cumsum(sizes))
-        else:
-            table = tables.get(page, _TABLES[page])
-            data = run.translate({c: table.get(c, 0 if c > 0x7F else c) for c in set(map(ord, run))}).encode("latin-1")
-            starts = None
+def _wide_readings(run: str) -> Iterator[tuple[str, int, int, str]]:
+    """Swap, start, end and original of the parts of a run that are well formed once read back by a wide code page."""
+    for page in WIDE_PAGES:
+        sizes, parts = [], []
+        for c in run:
+            try:
+                b = c.encode(page)
+            except UnicodeEncodeError:
+                b = b"\x00"
+            parts.append(b)
+            sizes.append(len(b))
+        data = b"".join(parts)
+        starts = np.append(0, np.cumsum(sizes))
         if data.count(b"\x00") * 3 > len(data):
             continue
         for encoding in ENCODINGS:
-            if encoding == page or (wide and encoding == "cp932"):
+            if encoding == page or encoding == "cp932" or (page == "gb18030" and encoding != "utf-8"):
                 continue
             for match in _UNITS[encoding].finditer(data):
                 a, b = match.span()
                 if b - a < 2:
                     continue
-                if starts is not None:  # whole characters of the run only
-                    i = int(np.searchsorted(starts, a))
-                    if starts[i] != a and (match := _UNITS[encoding].match(data, int(starts[i]))):
-                        b = match.end()
-                    j = int(np.searchsorted(starts, b, side="right")) - 1
-                    a, b = int(starts[i]), int(starts[j])
-                    if j - i < 2:
-                        continue
-                else:
-                    i, j = a, b
-                original = data[a:b].decode(encoding, "replace")
-                lost = original.count("�")
-                if lost > 1 + len(original) // 4 or len(original) - lost < (1 if encoding == "utf-8" else LEAST_CHARACTERS):
+                i = int(np.searchsorted(starts, a))  # whole characters of the run only
+                if starts[i] != a and (match := _UNITS[encoding].match(data, int(starts[i]))):
+                    b = match.end()
+                j = int(np.searchsorted(starts, b, side="right")) - 1
+                if j - i < 2:
                     continue
-                found.append((f"{encoding}>{page}", i, j, original))
-            if encoding == "utf-8" and not wide:
-                try:
-                    original = data.decode("utf-8")
-                except UnicodeDecodeError:
-                    continue
-                found += [(f"{encoding}>{page}!", 0, len(run), x) for x in {original, _again(original)} if not _CONTROL.search(x)]
-    return found
+                original = data[int(starts[i]) : int(starts[j])].decode(encoding, "replace")
+                if _whole(original, encoding):
+                    yield f"{encoding}>{page}", i, j, original
+
+
+def _whole(original: str, encoding: str) -> bool:
+    lost = original.count("\ufffd")
+    return lost <= 1 + len(original) // 4 and len(original) - lost >= (1 if encoding == "utf-8" else LEAST_CHARACTERS)
+
+
+def _letter_readings(run: str, swaps: list[tuple[str, str, _Letters]]) -> Iterator[tuple[str, int, int, str]]:
+    """The same by tables of letters.  A swap whose name ends in ``!`` has read every letter of the run as UTF-8."""
+    done: dict[int, bytes] = {}
+    for name, encoding, table in swaps:
+        data = done.get(id(table))
+        if data is None:
+            data = done[id(table)] = run.translate(table).encode("latin-1")
+        if data.count(b"\x00") * 3 > len(data):
+            continue
+        learned = "?" in name
+        for match in _UNITS[encoding].finditer(data):
+            a, b = match.span()
+            if b - a >= (4 if learned else 2):
+                original = data[a:b].decode(encoding, "replace")
+                if _whole(original, encoding):
+                    yield name, a, b, original
+        if encoding == "utf-8":
+            try:
+                original = data.decode("utf-8")
+            except UnicodeDecodeError:
+                continue
+            for x in {original, _again(original)}:
+                if not _CONTROL.search(x):
+                    yield name + "!", 0, len(run), x
 
 
 def runs_of(text: str) -> list[tuple[str, int, int]]:
@@ -172,25 +207,50 @@ def runs_of(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
+Tables = dict[str, dict[int, int]]
+
+
 class Reader:
-    """Finds and undoes swaps, given the language, sources' weights and learned tables."""
+    """Finds and undoes swaps, given the language and the tables learned from all sources.
+
+    Tables are by swap: ``encoding>page`` for one that began as a published
+    page, ``encoding>?script`` for one that began from nothing.  A text may
+    bring its source's own tables as JSON.
+    """
 
-    def __init__(self, counts: np.ndarray, weights: dict[tuple[int, str], float] | None = None, tables: dict[str, dict[int, int]] | None = None):
-        self.language, self.weights, self.tables = Language(counts), weights or {}, tables or {}
+    def __init__(self, counts: np.ndarray, tables: Tables | None = None):
+        self.language, self.tables = Language(counts), tables or {}
+        shared = {page: _Letters(table) for page, table in _TABLES.items()}
+        self.start = {name: (name, e, _Letters({**_TABLES[page], **self.tables[name]}) if name in self.tables else shared[page]) for name, e, page in _SWAPS}
+        self.start.update({name: (name, name.split(">")[0], _Letters(t)) for name, t in self.tables.items() if "?" in name})
+        self.known: dict[str | None, list[tuple[str, str, _Letters]]] = {None: list(self.start.values())}
+
+    def swaps(self, own: str | None) -> list[tuple[str, str, _Letters]]:
+        found = self.known.get(own)
+        if found is None:
+            if len(self.known) > 500:
+                self.known = {None: self.known[None]}
+            mine = dict(self.start)
+            for name, table in json.loads(own).items():
+                before = mine[name][2] if name in mine else {}
+                mine[name] = (name, name.split(">")[0], _Letters({**before, **{int(c): b for c, b in table.items()}}))
+            found = self.known[own] = list(mine.values())
+        return found
 
-    def judge(self, texts: list[str], sources: list[int]) -> list[list[tuple[int, int, str, str, float]]]:
+    def judge(self, texts: list[str], own: list[str | None]) -> list[list[tuple[int, int, str, str, float]]]:
         """For each text the parts that gain: start, end, swap, original and gain, best first and disjoint."""
         asked: list[tuple[int, int, int, str, str, str]] = []
         for k, text in enumerate(texts):
+            swaps = self.swaps(own[k])
             for kind, start, end in runs_of(text):
-                for swap, i, j, original in _readings(text[start:end], kind == "wide", self.tables):
-                    asked.append((k, start + i, start + j, swap, original, text[start + i : start + j]))
+                run = text[start:end]
+                for swap, i, j, original in _wide_readings(run) if kind == "wide" else _letter_readings(run, swaps):
+                    asked.append((k, start + i, start + j, swap, original, run[i:j]))
         before, after = self.language.score([x[5] for x in asked]), self.language.score([x[4] for x in asked])
         out: list[list[tuple[int, int, str, str, float]]] = [[] for _ in texts]
         for (k, i, j, swap, original, _), old, new in zip(asked, before, after):
-            gain = new - old + math.log(self.weights.get((sources[k], swap), 1.0))
-            if gain >= GAIN and (swap[-1] == "!" or new >= LEAST_MEAN * len(original)):
-                out[k].append((i, j, swap, original, gain))
+            if new - old >= GAIN and (swap[-1] == "!" or new >= LEAST_MEAN * len(original)):
+                out[k].append((i, j, swap, original, new - old))
         for k, parts in enumerate(out):
             if len(parts) > 1:
                 parts.sort(key=lambda x: (-x[4], x[0]))
@@ -217,18 +277,18 @@ class Reader:
                     found.append((first.start(), last.end(), original))
         return found
 
-    def garbled(self, texts: list[str], sources: list[int]) -> list[bool]:
+    def garbled(self, texts: list[str], own: list[str | None]) -> list[bool]:
         """Whether each text is garbled, wholly or in part, restorable or not."""
         sure = [bool(_LOST.search(t) or _CONTROL.search(t)) for t in texts]
-        open_texts = [k for k, t in enumerate(texts) if not sure[k] and _SIGNS_OR_RUN(t)]
-        for k, parts in zip(open_texts, self.judge([texts[k] for k in open_texts], [sources[k] for k in open_texts])):
+        rest = [k for k, found in enumerate(sure) if not found]
+        for k, parts in zip(rest, self.judge([texts[k] for k in rest], [own[k] for k in rest])):
             sure[k] = bool(parts) or ("$B" in texts[k] or "$@" in texts[k]) and bool(self.escaped(texts[k]))
         return sure
 
-    def restored(self, text: str, source: int, depth: int = 3) -> str:
+    def restored(self, text: str, own: str | None, depth: int = 3) -> str:
         """The text with every gaining part read anew, again and again for text garbled twice."""
         for _ in range(depth):
-            parts = [(i, j, original) for i, j, _, original, _ in self.judge([text], [source])[0]] + self.escaped(text)
+            parts = [(i, j, original) for i, j, _, original, _ in self.judge([text], [own])[0]] + self.escaped(text)
             if not parts:
                 break
             at, out = 0, []
@@ -240,15 +300,18 @@ class Reader:
         return text
 
 
-def _SIGNS_OR_RUN(text: str) -> bool:
-    return not text.isascii() or "$B" in text or "$@" in text
+def _open(text: str) -> bool:
+    """Whether a text has anything to judge."""
+    return bool(_LOST.search(text) or _CONTROL.search(text) or _LETTER_RUN.search(text) or _WIDE_SIGN.search(text)) or "$B" in text or "$@" in text
 
 
 def _segments(text: str, field: str) -> str:
     return text if field != "html.html" else _TAG.sub("\n", text)
 
 
-_RUNS = "field string, row_id bigint, source int, text string"
+_RUNS = "field string, row_id bigint, source bigint, text string"
+_GRAMS = "source bigint, swap string, x int, y int, z int, n bigint"
+_FITS = "source bigint, swap string, letters array<int>, bytes array<int>"
 
 
 def _plain_texts(batch: pa.RecordBatch) -> list[str]:
@@ -260,100 +323,141 @@ def _plain_texts(batch: pa.RecordBatch) -> list[str]:
     return out
 
 
-def learn(texts: DataFrame) -> tuple[np.ndarray, dict[tuple[str, str], float], dict[str, dict[int, int]]]:
-    """Language counts, swap weights by source and letter tables, from all rows of ``field, row_id, source, text``.
+def _only_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        yield batch.filter(pa.array([_open(t) for t in batch.column("text").to_pylist()], pa.bool_()))
 
-    Weights are relative to a source's mean; sources without a garbled run
-    keep 1.  The driver gets one number per source and swap, at most SOURCES
-    times the swaps, and one per code page and letter.
+
+def _run_grams(shared: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Letter n-grams of each run, by source and the swap whose parts hold most of it."""
+        reader = Reader(shared.value)
+        total: Counter[tuple[int, str, int, int, int]] = Counter()
+
+        def rows() -> pa.RecordBatch:
+            columns = list(zip(*((*key, n) for key, n in total.items())))
+            kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in _GRAMS.split(", ")])
+
+        for batch in batches:
+            sources, texts = (batch.column(c).to_pylist() for c in ("source", "text"))
+            for source, text, parts in zip(sources, texts, reader.judge(texts, [None] * len(texts))):
+                for run in _LETTER_RUN.finditer(text):
+                    grams = ciphers.letter_grams(run.group())
+                    if not grams:
+                        continue
+                    held: Counter[str] = Counter()
+                    own = [x for x in parts if run.start() <= x[0] and x[1] <= run.end()]
+                    if any(_LETTER_RUN.search(x[3]) or x[2][-1] == "!" and len(x[3].encode()) < x[1] - x[0] for x in own):
+                        continue  # garbled twice: no cipher of single letters
+                    for i, j, swap, _, _ in own:
+                        held[swap.rstrip("!")] += sum(c > "\x7f" for c in text[i:j])
+                    swap, letters = max(held.items(), key=lambda x: (x[1], x[0]), default=("", 0))
+                    if letters < READ_SHARE * sum(c > "\x7f" for c in run.group()):
+                        swap = "?" + script_of(run.group())
+                    for gram in grams:
+                        total[source, swap, *gram] += 1
+            if len(total) > 500_000:
+                yield rows()
+                total.clear()
+        if total:
+            yield rows()
+
+    return run
+
+
+def _fit(languages: Broadcast):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """EM on the n-grams of one source and swap: from its published page, or for every encoding from nothing."""
+        source, swap = int(group["source"].iloc[0]), group["swap"].iloc[0]
+        grams, n = group[["x", "y", "z"]].to_numpy(np.int64), group["n"].to_numpy(np.float64)
+        out = []
+        for code in ciphers.CODES:
+            encoding, _, page = swap.partition(">")
+            if page and code.name != encoding:
+                continue
+            prior = _TABLES[page] if page else None
+            fit = ciphers.learn_mapping(grams, n, code, languages.value[code.name], prior)
+            if fit is None or not fit.good():
+                continue
+            table = {c: b for c, b in fit.table.items() if not prior or prior.get(c) != b}
+            if table:
+                out.append((source, swap if page else f"{code.name}>{swap}", list(table), list(table.values())))
+        return pd.DataFrame(out, columns=["source", "swap", "letters", "bytes"])
+
+    return run
+
+
+def learn(texts: DataFrame, open_texts: DataFrame) -> tuple[np.ndarray, Tables, DataFrame]:
+    """Language counts, tables by swap learned from all sources, and ``source, tables`` of sources with their own.
+
+    Only letters are listed whose byte is another than the published page's.
+    The driver gets the tables of all sources together: at most MOST_LETTERS
+    letters for each swap and each script; those of single sources stay in Spark.
     """
-    counts = gather_counts(texts.select("field", "text"), _plain_texts, orders=2)
     spark = texts.sparkSession
-    suspicious = materialise(texts.mapInArrow(_only_suspicious, _RUNS), "suspicious")
-    weights: dict[tuple[int, str], float] = {}
-    tables: dict[str, dict[int, int]] = {}
-    for _ in range(EM_ROUNDS):
-        shared = spark.sparkContext.broadcast((counts, weights, tables))
-
-        def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            reader = Reader(*shared.value)
-            for batch in batches:
-                source, text = (batch.column(c).to_pylist() for c in ("source", "text"))
-                total: dict[tuple[int, str, int, int], float] = defaultdict(float)
-                for k, parts in enumerate(reader.judge(text, source)):
-                    for i, j, swap, _, gain in parts:
-                        share = 1.0 / (1.0 + math.exp(-min(gain, 50.0)))
-                        total[source[k], swap, -1, -1] += share * (j - i)
-                        page = swap.split(">")[1].rstrip("!")
-                        for c in set(text[k][i:j]) if page in _TABLES else ():
-                            byte = reader.tables.get(page, _TABLES[page]).get(ord(c))
-                            if byte is not None:
-                                total[-1, page, ord(c), byte] += share
-                rows = [(*key, value) for key, value in total.items()]
-                if rows:
-                    kinds = (pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.float64())
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["source", "swap", "letter", "byte", "n"])
-
-        found = (
-            suspicious.mapInArrow(expect, "source int, swap string, letter bigint, byte bigint, n double")
-            .groupBy("source", "swap", "letter", "byte")
-            .agg(F.sum("n").alias("n"))
-            .collect()
-        )
-        sums: dict[int, float] = defaultdict(float)
-        for r in found:
-            if r["letter"] < 0:
-                sums[r["source"]] += r["n"]
-        weights = {(r["source"], r["swap"]): 0.5 + (r["n"] + 1.0) / (sums[r["source"]] + 4.0) for r in found if r["letter"] < 0}
-        tables = {page: dict(table) for page, table in _TABLES.items()}
-        for r in sorted((r for r in found if r["letter"] >= 0), key=lambda r: r["n"]):
-            tables[r["swap"]][r["letter"]] = r["byte"]
-    return counts, weights, tables
-
-
-def _only_suspicious(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = [bool(_SIGNS.search(t)) for t in batch.column("text").to_pylist()]
-        yield batch.filter(pa.array(keep))
+    counts, bytes_ = gather_counts(texts.select("field", "text"), _plain_texts, orders=2, extra=ciphers.byte_grams, extra_size=ciphers.BYTE_GRAMS)
+    shared = spark.sparkContext.broadcast(counts)
+    languages = spark.sparkContext.broadcast(ciphers.languages(bytes_))
+    grams = materialise(open_texts.mapInArrow(_run_grams(shared), _GRAMS).groupBy("source", "swap", "x", "y", "z").agg(F.sum("n").alias("n")), "grams")
+    together = grams.groupBy("swap", "x", "y", "z").agg(F.sum("n").alias("n")).select(F.lit(-1).cast("bigint").alias("source"), "swap", "x", "y", "z", "n")
+    together = together.groupBy("swap").applyInPandas(_fit(languages), _FITS)
+    tables = {r["swap"]: dict(zip(r["letters"], r["bytes"])) for r in together.collect()}
+    enough = grams.groupBy("source", "swap").agg(F.sum("n").alias("total")).filter(F.col("total") >= LEAST_OWN).select("source", "swap")
+    # One row of each n-gram: however many rows a source has, its group is no larger than the pairs and triples of a code page's letters.
+    own = grams.join(enough, ["source", "swap"]).groupBy("source", "swap").applyInPandas(_fit(languages), _FITS)
+    entry = F.struct("swap", F.map_from_arrays(F.col("letters").cast("array<string>"), "bytes").alias("table"))
+    own = own.groupBy("source").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("tables"))
+    return counts, tables, own
 
 
 def as_texts(df: DataFrame, field: str, id_col: str, text_col: str, url_col: str) -> DataFrame:
     """``field, row_id, source, text`` of a table's non-empty texts; the source is a hash of the site, one for all without."""
     return df.select(
-        F.lit(field).alias("field"), F.col(id_col).cast("bigint").alias("row_id"), F.pmod(F.xxhash64(site(url_col)), F.lit(SOURCES)).cast("int").alias("source"), F.col(text_col).alias("text")
+        F.lit(field).alias("field"), F.col(id_col).cast("bigint").alias("row_id"), F.xxhash64(F.coalesce(site(url_col), F.lit(""))).alias("source"), F.col(text_col).alias("text")
     ).filter("text <> ''")
 
 
+def _judged(texts: DataFrame) -> tuple[DataFrame, Broadcast]:
+    """The texts with anything to judge and their source's own tables; language and common tables."""
+    open_texts = materialise(texts.mapInArrow(_only_open, _RUNS), "open_texts")
+    counts, tables, own = learn(texts, open_texts)
+    shared = texts.sparkSession.sparkContext.broadcast((counts, tables))
+    rows = open_texts.groupBy("source").agg(F.count("*").alias("n"))
+    per_source = materialise(rows.join(own, "source", "left"), "source_tables")
+    total = open_texts.count()
+    return join_hot_aware(open_texts, per_source, "source", "row_id", "n", total).select("field", "row_id", "text", "tables"), shared
+
+
 def garbled_rows(texts: DataFrame) -> DataFrame:
     """``field, row_id`` of the texts garbled wholly or in part.
 
-    Null and empty texts give nothing; a text without a site is judged like
-    those of a source of its own.  Rows are independent once the model is
-    learned; an empty table gives an empty result.
+    Null and empty texts give nothing; texts without a site are a source
+    together.  Rows are independent once the tables are learned; an empty
+    table gives an empty result.
     """
-    shared = texts.sparkSession.sparkContext.broadcast(learn(texts))
+    judged, shared = _judged(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(*shared.value)
         for batch in batches:
-            source, text = (batch.column(c).to_pylist() for c in ("source", "text"))
-            bad = reader.garbled(text, source)
-            yield batch.select(["field", "row_id"]).filter(pa.array(bad, pa.bool_()))
+            text, own = (batch.column(c).to_pylist() for c in ("text", "tables"))
+            yield batch.select(["field", "row_id"]).filter(pa.array(reader.garbled(text, own), pa.bool_()))
 
-    return texts.mapInArrow(run, "field string, row_id bigint")
+    return judged.mapInArrow(run, "field string, row_id bigint")
 
 
 def restored_texts(texts: DataFrame) -> DataFrame:
     """``field, row_id, text, restored``: each garbled text with what could be restored of it."""
-    shared = texts.sparkSession.sparkContext.broadcast(learn(texts))
+    judged, shared = _judged(texts)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(*shared.value)
         for batch in batches:
-            source, text = (batch.column(c).to_pylist() for c in ("source", "text"))
-            bad = reader.garbled(text, source)
+            text, own = (batch.column(c).to_pylist() for c in ("text", "tables"))
+            bad = reader.garbled(text, own)
             kept = batch.select(["field", "row_id", "text"]).filter(pa.array(bad, pa.bool_()))
-            better = [reader.restored(t, s) for t, s, b in zip(text, source, bad) if b]
+            better = [reader.restored(t, s) for t, s, b in zip(text, own, bad) if b]
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(better, pa.string())], ["field", "row_id", "text", "restored"])
 
-    return texts.mapInArrow(run, "field string, row_id bigint, text string, restored string")
+    return judged.mapInArrow(run, "field string, row_id bigint, text string, restored string")

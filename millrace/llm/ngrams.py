@@ -55,23 +55,47 @@ def add_counts(counts: np.ndarray, texts: list[str], weight: float = 1.0, orders
             counts[n] += weight * np.bincount(grams[n][real], minlength=1 << BITS)
 
 
-def gather_counts(df: DataFrame, texts_of: Callable[[pa.RecordBatch], list[str]], orders: int = ORDER) -> np.ndarray:
-    """Counts over all rows: summed within each task, then by Spark; at most orders * 2**BITS numbers reach the driver."""
+def gather_counts(
+    df: DataFrame,
+    texts_of: Callable[[pa.RecordBatch], list[str]],
+    orders: int = ORDER,
+    extra: Callable[[list[str]], np.ndarray] | None = None,
+    extra_size: int = 0,
+) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """Counts over all rows; at most orders * 2**BITS numbers reach the driver.
+
+    ``extra`` may count something else of the same texts into ``extra_size``
+    further numbers, which are then returned beside.  Splits are taken
+    together in as many tasks as the session has cores, twice over, so that
+    what is shuffled grows with the cluster and not with the data.
+    """
+    size = ORDER << BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros((ORDER, 1 << BITS))
+        more = np.zeros(extra_size, np.int64)
         for batch in batches:
             texts = texts_of(batch)
             for at in range(0, len(texts), 20_000):
-                add_counts(counts, texts[at : at + 20_000], orders=orders)
-        flat = counts.ravel()
+                part = texts[at : at + 20_000]
+                add_counts(counts, part, orders=orders)
+                if extra:
+                    more += extra(part)
+        flat = np.concatenate([counts.ravel().astype(np.int64), more])
         used = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(flat[used].astype(np.int64))], ["slot", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(flat[used])], ["slot", "n"])
 
-    found = df.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(ORDER << BITS)
+    few = df.coalesce(coarse(df))
+    found = few.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(size + extra_size, np.int64)
     counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    return counts.reshape(ORDER, 1 << BITS)
+    whole = counts[:size].astype(np.float64).reshape(ORDER, 1 << BITS)
+    return (whole, counts[size:]) if extra else whole
+
+
+def coarse(df: DataFrame) -> int:
+    """Tasks for sums of a bounded size over all rows: two for each core of the session."""
+    return 2 * max(1, df.sparkSession.sparkContext.defaultParallelism)
 
 
 class Model:
