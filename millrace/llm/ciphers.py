@@ -19,8 +19,8 @@ from dataclasses import dataclass
 
 import numpy as np
 
-#: Letters of a source a mapping is learned for, most frequent first; a code page has no more than these beyond ASCII.
-MOST_LETTERS = 192
+#: Letters of a source a mapping is learned for by the length of n-grams, most frequent first; a code page has 128 beyond ASCII.
+MOST_LETTERS = {2: 224, 3: 136}
 #: Rounds of EM; starts from frequencies when there is no prior; share left to letters that are no cipher.
 ROUNDS, STARTS, NOISE = 20, 3, 0.02
 #: Pseudo-count of each letter of the prior page, and the share of n-grams fitting by which EM has nothing left to learn beyond it.
@@ -99,7 +99,7 @@ def _table(grams: np.ndarray, n: np.ndarray, order: int) -> tuple[list[int], np.
     cells = grams[:, :order]
     letters, total = np.unique(cells.ravel(), return_inverse=True)
     frequency = np.bincount(total, np.repeat(n, order), minlength=len(letters))
-    kept = np.sort(letters[np.argsort(-frequency, kind="stable")[:MOST_LETTERS]])
+    kept = np.sort(letters[np.argsort(-frequency, kind="stable")[: MOST_LETTERS[order]]])
     at = np.searchsorted(kept, cells)
     fine = (kept[np.minimum(at, len(kept) - 1)] == cells).all(1)
     index = np.ravel_multi_index(tuple(at[fine].T), (len(kept),) * order)
@@ -117,13 +117,13 @@ def _expect(seen: np.ndarray, language: np.ndarray, theta: np.ndarray, noise: np
     if seen.ndim == 2:
         half = language @ theta
         likely = theta.T @ half + noise
-        ratio = np.where(seen > 0, seen / likely, 0).astype(np.float32)
+        ratio = (seen / likely).astype(np.float32, copy=False)
         spread = half @ ratio.T + language.T @ (theta @ ratio)
     else:
         last = (language.reshape(b * b, b) @ theta).reshape(b, b, v)
         rest = np.matmul(theta.T, last)  # first byte x second and third letter
         likely = (theta.T @ rest.reshape(b, v * v)).reshape(v, v, v) + noise
-        ratio = np.where(seen > 0, seen / likely, 0).astype(np.float32).reshape(v, v * v)
+        ratio = (seen / likely).astype(np.float32, copy=False).reshape(v, v * v)
         spread = rest.reshape(b, v * v) @ ratio.T
         back = (theta @ ratio).reshape(b, v, v)
         spread += np.einsum("abz,ayz->by", last, back, optimize=True)
@@ -188,7 +188,7 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
     places = code.places()
     b, v = len(code.values), len(letters)
     frequency = _margin(seen)
-    noise = NOISE * np.einsum("i,j->ij" if code.order == 2 else "i,j,k->ijk", *[frequency] * code.order).astype(np.float32) + 1e-12
+    noise = np.einsum("i,j->ij" if code.order == 2 else "i,j,k->ijk", *[frequency.astype(np.float32)] * code.order) * np.float32(NOISE) + np.float32(1e-12)
     fixed = np.ones((b, v), np.float32)
     for k, x in enumerate(letters):
         if x < 0x80:

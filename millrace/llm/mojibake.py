@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.urls import site
 from millrace.llm import ciphers
-from millrace.llm.ngrams import START, Model, codes_of, gather_counts, gram_indexes
+from millrace.llm.ngrams import START, Counts, Model, coarse, codes_of, gram_indexes, summed
 from millrace.plans.lineage import materialise
 from millrace.plans.skew import join_hot_aware
 
@@ -277,13 +277,9 @@ class Reader:
                     found.append((first.start(), last.end(), original))
         return found
 
-    def garbled(self, texts: list[str], own: list[str | None]) -> list[bool]:
-        """Whether each text is garbled, wholly or in part, restorable or not."""
-        sure = [bool(_LOST.search(t) or _CONTROL.search(t)) for t in texts]
-        rest = [k for k, found in enumerate(sure) if not found]
-        for k, parts in zip(rest, self.judge([texts[k] for k in rest], [own[k] for k in rest])):
-            sure[k] = bool(parts) or ("$B" in texts[k] or "$@" in texts[k]) and bool(self.escaped(texts[k]))
-        return sure
+    def garbled_by(self, text: str, parts: list) -> bool:
+        """Whether a text with these gaining parts is garbled, wholly or in part, restorable or not."""
+        return bool(parts or _LOST.search(text) or _CONTROL.search(text)) or ("$B" in text or "$@" in text) and bool(self.escaped(text))
 
     def restored(self, text: str, own: str | None, depth: int = 3) -> str:
         """The text with every gaining part read anew, again and again for text garbled twice."""
@@ -309,59 +305,85 @@ def _segments(text: str, field: str) -> str:
     return text if field != "html.html" else _TAG.sub("\n", text)
 
 
-_RUNS = "field string, row_id bigint, source bigint, text string"
-_GRAMS = "source bigint, swap string, x int, y int, z int, n bigint"
+#: Rows taken at once: a page may be long.
+SLICE = 500
+_READ = "field string, row_id bigint, source bigint, text string, slot int, n bigint"
+_FIRST = "field string, row_id bigint, source bigint, text string, bad boolean, swap string, x int, y int, z int, n bigint"
 _FITS = "source bigint, swap string, letters array<int>, bytes array<int>"
 
 
-def _plain_texts(batch: pa.RecordBatch) -> list[str]:
-    """Texts the language is learned from: those without signs of a wrong decoding."""
-    out = []
-    for field, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        if not _SIGNS.search(text):
-            out += [x for x in _segments(text, field).split("\n") if x.strip()]
-    return out
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
 
 
-def _only_open(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        yield batch.filter(pa.array([_open(t) for t in batch.column("text").to_pylist()], pa.bool_()))
+def _names(schema: str) -> list[str]:
+    return [x.split()[0] for x in schema.split(", ")]
+
+
+def _padded(schema: str, given: dict[str, pa.Array]) -> pa.RecordBatch:
+    """A batch of ``schema`` whose other columns are null."""
+    kinds = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}
+    rows = len(next(iter(given.values())))
+    fields = [x.split() for x in schema.split(", ")]
+    return pa.RecordBatch.from_arrays([given[name] if name in given else pa.nulls(rows, kinds[kind]) for name, kind in fields], _names(schema))
+
+
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts with anything to judge, and after them the counts of the language's clean texts."""
+    counts = Counts(2, ciphers.byte_grams, ciphers.BYTE_GRAMS)
+    for batch in _slices(batches):
+        texts = batch.column("text").to_pylist()
+        clean: list[str] = []
+        for field, text in zip(batch.column("field").to_pylist(), texts):
+            if not _SIGNS.search(text):
+                clean += [x for x in _segments(text, field).split("\n") if x.strip()]
+        counts.add(clean)
+        kept = batch.filter(pa.array([_open(t) for t in texts], pa.bool_()))
+        if kept.num_rows:
+            yield _padded(_READ, dict(zip(kept.schema.names, kept.columns)))
+    slot, n = counts.cells()
+    if len(slot):
+        yield _padded(_READ, {"slot": slot, "n": n})
 
 
-def _run_grams(shared: Broadcast):
+def _first(shared: Broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Letter n-grams of each run, by source and the swap whose parts hold most of it."""
+        """Each text and whether it is garbled by the published pages; then the letter n-grams of runs, by source
+        and the swap whose parts hold most of the run."""
         reader = Reader(shared.value)
         total: Counter[tuple[int, str, int, int, int]] = Counter()
 
-        def rows() -> pa.RecordBatch:
+        def grams() -> pa.RecordBatch:
             columns = list(zip(*((*key, n) for key, n in total.items())))
             kinds = (pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.int32(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in _GRAMS.split(", ")])
+            return _padded(_FIRST, {name: pa.array(c, kind) for name, c, kind in zip(("source", "swap", "x", "y", "z", "n"), columns, kinds)})
 
-        for batch in batches:
+        for batch in _slices(batches):
             sources, texts = (batch.column(c).to_pylist() for c in ("source", "text"))
-            for source, text, parts in zip(sources, texts, reader.judge(texts, [None] * len(texts))):
+            judged = reader.judge(texts, [None] * len(texts))
+            bad = pa.array([reader.garbled_by(t, parts) for t, parts in zip(texts, judged)], pa.bool_())
+            yield _padded(_FIRST, {**dict(zip(batch.schema.names, batch.columns)), "bad": bad})
+            for source, text, parts in zip(sources, texts, judged):
                 for run in _LETTER_RUN.finditer(text):
-                    grams = ciphers.letter_grams(run.group())
-                    if not grams:
-                        continue
-                    held: Counter[str] = Counter()
-                    own = [x for x in parts if run.start() <= x[0] and x[1] <= run.end()]
+                    grams_of_run = ciphers.letter_grams(run.group())
+                    own = [x for x in parts if run.start() <= x[0] and x[1] <= run.end()] if grams_of_run else []
                     if any(_LETTER_RUN.search(x[3]) or x[2][-1] == "!" and len(x[3].encode()) < x[1] - x[0] for x in own):
                         continue  # garbled twice: no cipher of single letters
+                    held: Counter[str] = Counter()
                     for i, j, swap, _, _ in own:
                         held[swap.rstrip("!")] += sum(c > "\x7f" for c in text[i:j])
                     swap, letters = max(held.items(), key=lambda x: (x[1], x[0]), default=("", 0))
                     if letters < READ_SHARE * sum(c > "\x7f" for c in run.group()):
                         swap = "?" + script_of(run.group())
-                    for gram in grams:
+                    for gram in grams_of_run:
                         total[source, swap, *gram] += 1
-            if len(total) > 500_000:
-                yield rows()
+            if len(total) > 300_000:
+                yield grams()
                 total.clear()
         if total:
-            yield rows()
+            yield grams()
 
     return run
 
@@ -388,27 +410,45 @@ def _fit(languages: Broadcast):
     return run
 
 
-def learn(texts: DataFrame, open_texts: DataFrame) -> tuple[np.ndarray, Tables, DataFrame]:
-    """Language counts, tables by swap learned from all sources, and ``source, tables`` of sources with their own.
+class Learned:
+    """What was learned of all texts of ``field, row_id, source, text``.
 
-    Only letters are listed whose byte is another than the published page's.
-    The driver gets the tables of all sources together: at most MOST_LETTERS
-    letters for each swap and each script; those of single sources stay in Spark.
+    ``counts`` is the language, ``tables`` those by swap of all sources
+    together, ``own`` has ``source, tables`` of the sources with their own,
+    ``texts`` every text with anything to judge and whether it is garbled by
+    the published pages (``bad``).  Only letters are listed whose byte is
+    another than the published page's.  The driver gets the tables of all
+    sources together, at most MOST_LETTERS letters for each swap and script;
+    those of single sources stay in Spark.
     """
-    spark = texts.sparkSession
-    counts, bytes_ = gather_counts(texts.select("field", "text"), _plain_texts, orders=2, extra=ciphers.byte_grams, extra_size=ciphers.BYTE_GRAMS)
-    shared = spark.sparkContext.broadcast(counts)
-    languages = spark.sparkContext.broadcast(ciphers.languages(bytes_))
-    grams = materialise(open_texts.mapInArrow(_run_grams(shared), _GRAMS).groupBy("source", "swap", "x", "y", "z").agg(F.sum("n").alias("n")), "grams")
-    together = grams.groupBy("swap", "x", "y", "z").agg(F.sum("n").alias("n")).select(F.lit(-1).cast("bigint").alias("source"), "swap", "x", "y", "z", "n")
-    together = together.groupBy("swap").applyInPandas(_fit(languages), _FITS)
-    tables = {r["swap"]: dict(zip(r["letters"], r["bytes"])) for r in together.collect()}
-    enough = grams.groupBy("source", "swap").agg(F.sum("n").alias("total")).filter(F.col("total") >= LEAST_OWN).select("source", "swap")
-    # One row of each n-gram: however many rows a source has, its group is no larger than the pairs and triples of a code page's letters.
-    own = grams.join(enough, ["source", "swap"]).groupBy("source", "swap").applyInPandas(_fit(languages), _FITS)
-    entry = F.struct("swap", F.map_from_arrays(F.col("letters").cast("array<string>"), "bytes").alias("table"))
-    own = own.groupBy("source").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("tables"))
-    return counts, tables, own
+
+    def __init__(self, texts: DataFrame):
+        spark = texts.sparkSession
+        read = materialise(texts.select("field", "row_id", "source", "text").coalesce(coarse(texts)).mapInArrow(_read, _READ), "read")
+        self.counts, bytes_ = summed(read.filter("slot IS NOT NULL").select("slot", "n"), ciphers.BYTE_GRAMS)
+        languages = spark.sparkContext.broadcast(ciphers.languages(bytes_))
+        open_texts = read.filter("slot IS NULL").select("field", "row_id", "source", "text")
+        first = materialise(open_texts.mapInArrow(_first(spark.sparkContext.broadcast(self.counts)), _FIRST), "judged")
+        self.texts = first.filter("swap IS NULL").select("field", "row_id", "source", "text", "bad")
+        grams = first.filter("swap IS NOT NULL").groupBy("source", "swap", "x", "y", "z").agg(F.sum("n").alias("n"))
+        grams = materialise(grams, "grams")
+        together = grams.groupBy("swap", "x", "y", "z").agg(F.sum("n").alias("n")).withColumn("source", F.lit(-1).cast("bigint"))
+        self.tables: Tables = {
+            r["swap"]: dict(zip(r["letters"], r["bytes"])) for r in together.groupBy("swap").applyInPandas(_fit(languages), _FITS).collect()
+        }
+        enough = grams.groupBy("source", "swap").agg(F.sum("n").alias("total")).filter(F.col("total") >= LEAST_OWN).select("source", "swap")
+        # One row of each n-gram: however many rows a source has, its group is no larger than the pairs and triples of a code page's letters.
+        own = grams.join(enough, ["source", "swap"]).groupBy("source", "swap").applyInPandas(_fit(languages), _FITS)
+        entry = F.struct("swap", F.map_from_arrays(F.col("letters").cast("array<string>"), "bytes").alias("table"))
+        self.own = materialise(own.groupBy("source").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("tables")), "own_tables")
+
+    def with_tables(self) -> DataFrame:
+        """``texts`` with ``tables``, their source's own or null."""
+        sources = self.texts.groupBy("source").agg(F.count("*").alias("n")).join(self.own, "source", "left")
+        return join_hot_aware(self.texts, sources, "source", "row_id", "n", self.texts.count()).drop("n")
+
+    def shared(self) -> Broadcast:
+        return self.texts.sparkSession.sparkContext.broadcast((self.counts, self.tables))
 
 
 def as_texts(df: DataFrame, field: str, id_col: str, text_col: str, url_col: str) -> DataFrame:
@@ -418,15 +458,30 @@ def as_texts(df: DataFrame, field: str, id_col: str, text_col: str, url_col: str
     ).filter("text <> ''")
 
 
+def _garbled_again(shared: Broadcast):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Reader(*shared.value)
+        for batch in _slices(batches):
+            text, own = (batch.column(c).to_pylist() for c in ("text", "tables"))
+            found = [reader.garbled_by(t, parts) for t, parts in zip(text, reader.judge(text, own))]
+            yield batch.set_column(batch.schema.get_field_index("bad"), "bad", pa.array(found, pa.bool_()))
+
+    return run
+
+
 def _judged(texts: DataFrame) -> tuple[DataFrame, Broadcast]:
-    """The texts with anything to judge and their source's own tables; language and common tables."""
-    open_texts = materialise(texts.mapInArrow(_only_open, _RUNS), "open_texts")
-    counts, tables, own = learn(texts, open_texts)
-    shared = texts.sparkSession.sparkContext.broadcast((counts, tables))
-    rows = open_texts.groupBy("source").agg(F.count("*").alias("n"))
-    per_source = materialise(rows.join(own, "source", "left"), "source_tables")
-    total = open_texts.count()
-    return join_hot_aware(open_texts, per_source, "source", "row_id", "n", total).select("field", "row_id", "text", "tables"), shared
+    """``field, row_id, source, text, bad, tables`` of the texts with anything to judge; language and common tables.
+
+    Texts that the published pages leave open are judged again where
+    anything was learned beyond them.
+    """
+    learned = Learned(texts)
+    shared = learned.shared()
+    rows = learned.with_tables()
+    again = F.lit(True) if learned.tables else F.col("tables").isNotNull()
+    rows = rows.select("field", "row_id", "source", "text", "bad", "tables")
+    judged = rows.filter(~F.col("bad") & again).mapInArrow(_garbled_again(shared), rows.schema)
+    return rows.filter("bad").unionByName(judged.filter("bad")), shared
 
 
 def garbled_rows(texts: DataFrame) -> DataFrame:
@@ -436,15 +491,7 @@ def garbled_rows(texts: DataFrame) -> DataFrame:
     together.  Rows are independent once the tables are learned; an empty
     table gives an empty result.
     """
-    judged, shared = _judged(texts)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(*shared.value)
-        for batch in batches:
-            text, own = (batch.column(c).to_pylist() for c in ("text", "tables"))
-            yield batch.select(["field", "row_id"]).filter(pa.array(reader.garbled(text, own), pa.bool_()))
-
-    return judged.mapInArrow(run, "field string, row_id bigint")
+    return _judged(texts)[0].select("field", "row_id")
 
 
 def restored_texts(texts: DataFrame) -> DataFrame:
@@ -453,11 +500,9 @@ def restored_texts(texts: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(*shared.value)
-        for batch in batches:
-            text, own = (batch.column(c).to_pylist() for c in ("text", "tables"))
-            bad = reader.garbled(text, own)
-            kept = batch.select(["field", "row_id", "text"]).filter(pa.array(bad, pa.bool_()))
-            better = [reader.restored(t, s) for t, s, b in zip(text, own, bad) if b]
+        for batch in _slices(batches):
+            kept = batch.select(["field", "row_id", "text"])
+            better = [reader.restored(t, own) for t, own in zip(*(batch.column(c).to_pylist() for c in ("text", "tables")))]
             yield pa.RecordBatch.from_arrays([*kept.columns, pa.array(better, pa.string())], ["field", "row_id", "text", "restored"])
 
     return judged.mapInArrow(run, "field string, row_id bigint, text string, restored string")

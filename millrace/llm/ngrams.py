@@ -55,42 +55,49 @@ def add_counts(counts: np.ndarray, texts: list[str], weight: float = 1.0, orders
             counts[n] += weight * np.bincount(grams[n][real], minlength=1 << BITS)
 
 
-def gather_counts(
-    df: DataFrame,
-    texts_of: Callable[[pa.RecordBatch], list[str]],
-    orders: int = ORDER,
-    extra: Callable[[list[str]], np.ndarray] | None = None,
-    extra_size: int = 0,
-) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
-    """Counts over all rows; at most orders * 2**BITS numbers reach the driver.
-
-    ``extra`` may count something else of the same texts into ``extra_size``
-    further numbers, which are then returned beside.  Splits are taken
-    together in as many tasks as the session has cores, twice over, so that
-    what is shuffled grows with the cluster and not with the data.
+class Counts:
+    """A task's sums: n-grams, and ``extra_size`` further numbers that ``extra`` counts of the same texts."""
+
+    def __init__(self, orders: int = ORDER, extra: Callable[[list[str]], np.ndarray] | None = None, extra_size: int = 0):
+        self.orders, self.extra = orders, extra
+        self.counts, self.more = np.zeros((ORDER, 1 << BITS)), np.zeros(extra_size, np.int64)
+
+    def add(self, texts: list[str]) -> None:
+        for at in range(0, len(texts), 5_000):
+            part = texts[at : at + 5_000]
+            add_counts(self.counts, part, orders=self.orders)
+            if self.extra:
+                self.more += self.extra(part)
+
+    def cells(self) -> tuple[pa.Array, pa.Array]:
+        """The slots that aren't 0, and their numbers."""
+        flat = np.concatenate([self.counts.ravel().astype(np.int64), self.more])
+        used = np.flatnonzero(flat)
+        return pa.array(used.astype(np.int32)), pa.array(flat[used])
+
+
+def summed(cells: DataFrame, extra_size: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """All tasks' ``slot, n`` together: the n-gram counts and the further numbers; at most ORDER * 2**BITS + ``extra_size`` reach the driver."""
+    found = cells.groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros((ORDER << BITS) + extra_size, np.int64)
+    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
+    return counts[: ORDER << BITS].astype(np.float64).reshape(ORDER, 1 << BITS), counts[ORDER << BITS :]
+
+
+def gather_counts(df: DataFrame, texts_of: Callable[[pa.RecordBatch], list[str]], orders: int = ORDER) -> np.ndarray:
+    """N-gram counts over all rows, summed within each task and then by Spark.
+
+    Splits are taken together in as many tasks as the session has cores, twice
+    over, so that what is shuffled grows with the cluster and not with the data.
     """
-    size = ORDER << BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((ORDER, 1 << BITS))
-        more = np.zeros(extra_size, np.int64)
+        counts = Counts(orders)
         for batch in batches:
-            texts = texts_of(batch)
-            for at in range(0, len(texts), 20_000):
-                part = texts[at : at + 20_000]
-                add_counts(counts, part, orders=orders)
-                if extra:
-                    more += extra(part)
-        flat = np.concatenate([counts.ravel().astype(np.int64), more])
-        used = np.flatnonzero(flat)
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(flat[used])], ["slot", "n"])
+            counts.add(texts_of(batch))
+        yield pa.RecordBatch.from_arrays([*counts.cells()], ["slot", "n"])
 
-    few = df.coalesce(coarse(df))
-    found = few.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros(size + extra_size, np.int64)
-    counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
-    whole = counts[:size].astype(np.float64).reshape(ORDER, 1 << BITS)
-    return (whole, counts[size:]) if extra else whole
+    return summed(df.coalesce(coarse(df)).mapInArrow(run, "slot int, n bigint"))[0]
 
 
 def coarse(df: DataFrame) -> int:

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from millrace.llm.ciphers import CODES, byte_grams, languages, learn_mapping, letter_grams
-from millrace.llm.mojibake import Reader, as_texts, garbled_rows, learn, letter_table, restored_texts
+from millrace.llm.mojibake import Learned, Reader, as_texts, garbled_rows, letter_table, restored_texts
 
 TITLES = [f"{a}の{b}について聞くと、「{c}」という答えだった。" for a in ("港町", "市場", "広場", "会館") for b in ("伴奏", "稲穂", "旅館", "釉薬", "判決文") for c in ("時間をかけて直した", "久しぶりに訪ねた", "昨年の秋から始めた")]
 WHOLE = "市場の旅館について聞くと、久しぶりに訪ねたという答えだった。"
@@ -93,7 +93,7 @@ def test_unknown_pages_are_learned(spark, encoding, page, moved):
     garbled = range(10_000, 10_000 + len(chosen))
     assert not [i for i in got if i not in garbled]
     # Without what EM learned they are hardly found or not restored.
-    reader = Reader(learn(df, df)[0])
+    reader = Reader(Learned(df).counts)
     plain = [t for i, t, _ in rows if i in garbled]
     assert sum(reader.restored(t, None) == c for t, c in zip(plain, chosen)) == 0
     assert sum(i in got for i in garbled) >= 0.98 * len(chosen)
