@@ -18,8 +18,9 @@ def join_hot_aware(
     weight: str,
     total: int,
     slices: int = HOT_SLICES,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of ``rows`` with ``table`` (one row per ``key``) on a 64-bit ``key``.
+    """Inner or left join of ``rows`` with ``table`` (one row per ``key``) on a 64-bit ``key``.
 
     ``weight`` is the column of ``table`` that says how many of the ``total``
     rows have the key; ``spread`` a BIGINT column of ``rows`` that differs from
@@ -27,7 +28,8 @@ def join_hot_aware(
     ``slices``, as each holds 1/slices of the rows); their rows are then hashed
     by ``spread``, so no task gets a whole hot key.  All other keys meet in an
     ordinary shuffled join.  Rows are scanned and shuffled once.  A null key
-    joins nothing.
+    joins nothing; with ``how="left"`` such rows stay, like all others that
+    meet no entry, with nulls.
     """
     limit = max(2, -(-total // slices))
     values = [c for c in table.columns if c != key]
@@ -37,14 +39,15 @@ def join_hot_aware(
         F.col(key).alias("_cold_key"), F.lit(False).alias("_cold_flag"), F.struct(*values).alias("_cold")
     )
     marked = (
-        rows.filter(F.col(key).isNotNull())
+        (rows if how == "left" else rows.filter(F.col(key).isNotNull()))
         .join(hot, F.col(key) == F.col("_hot_key"), "left")
         .withColumn("_is_hot", F.col("_hot").isNotNull())
-        .withColumn("_meet", F.when(F.col("_is_hot"), F.xxhash64(spread)).otherwise(F.col(key)))
+        .withColumn("_apart", F.col("_is_hot") | F.col(key).isNull())
+        .withColumn("_meet", F.when(F.col("_apart"), F.xxhash64(spread)).otherwise(F.col(key)))
     )
     joined = marked.join(
-        cold, (F.col("_meet") == F.col("_cold_key")) & (F.col("_is_hot") == F.col("_cold_flag")), "left"
+        cold, (F.col("_meet") == F.col("_cold_key")) & (F.col("_apart") == F.col("_cold_flag")), "left"
     ).withColumn("_found", F.coalesce("_hot", "_cold"))
-    return joined.filter(F.col("_found").isNotNull()).select(
+    return (joined if how == "left" else joined.filter(F.col("_found").isNotNull())).select(
         *rows.columns, *[F.col("_found")[c].alias(c) for c in values if c not in rows.columns]
     )
