@@ -21,8 +21,8 @@ import numpy as np
 
 #: Letters of a source a mapping is learned for by the length of n-grams, most frequent first; a code page has 128 beyond ASCII.
 MOST_LETTERS = {2: 224, 3: 136}
-#: Rounds of EM; starts from frequencies when there is no prior; share left to letters that are no cipher.
-ROUNDS, STARTS, NOISE = 20, 3, 0.02
+#: Rounds of EM from nothing and from a prior; starts from frequencies when there is no prior; share left to letters that are no cipher.
+ROUNDS, PRIOR_ROUNDS, STARTS, NOISE = 20, 8, 3, 0.02
 #: Pseudo-count of each letter of the prior page, and the share of n-grams fitting by which EM has nothing left to learn beyond it.
 PRIOR, CONVERGED = 2.0, 0.97
 #: Counts that a letter's byte must be learned from: where the prior page has no byte for it, and to overrule the page.
@@ -212,7 +212,7 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
         theta = ((pseudo + 1e-2 * theta if prior else theta) * fixed).astype(np.float32)
         theta /= np.maximum(theta.sum(1, keepdims=True), 1e-30)
         expected, likelihood = theta, -np.inf
-        for _ in range(ROUNDS):
+        for _ in range(PRIOR_ROUNDS if prior else ROUNDS):
             expected, likelihood = _expect(seen, language, theta, noise)
             theta = (expected + pseudo) * fixed
             theta /= np.maximum(theta.sum(1, keepdims=True), 1e-30)

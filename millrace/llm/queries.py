@@ -35,7 +35,7 @@ def p1_audit(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.seen import seen_before
 
     audit = seen_before(_seen_keys(spark, d))[1]
-    return audit.select(_field().alias("field"), "rows", "flagged", "repeated", "wrong", "wrong_share")
+    return audit.select(_field().alias("field"), "rows", "asked", "behind", "flagged", "false_alarms", "missed", "wrong_share")
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:

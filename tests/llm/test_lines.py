@@ -3,8 +3,10 @@ import re
 import unicodedata
 from urllib.parse import urlsplit
 
+import numpy as np
+
 from millrace.llm.mainbody import Page, align, inside_main, main_bodies, surrounding_lines
-from millrace.llm.repeats import LONGEST, SHORTEST, canonical_line, chunk_ends, repeated_lines, without_repeated_lines
+from millrace.llm.repeats import WINDOW, canonical_line, line_units, natural_cuts, repeated_lines, without_repeated_lines
 
 PAGES = "page_id bigint, page_url string, text string"
 
@@ -53,16 +55,32 @@ def test_repeated_lines_against_brute_force(spark):
     assert repeated_lines(df.limit(0)).count() == 0
 
 
-def test_chunks_cover_the_line_and_move_with_content():
+def test_chunks_decide_across_line_ends(spark):
+    block = "\n".join(["a", "会", "b2", "店"])  # lines too short to delimit a chunk of their own
+    rows = [(i, f"https://a.example/{i}", f"固有の題{i * 7919}\n{block * 3}\n終わり") for i in range(40)]
+    df = spark.createDataFrame(rows, PAGES)
+    found = repeated_lines(df).collect()
+    assert {(r.page_id, r.line_no) for r in found} == brute(rows)
+    assert sum(r.by_chunk for r in found) > 0 and not all(r.by_chunk for r in found)
+    # Unlike lines, some in a chunk with the line's own bytes, are told apart by chunks alone.
+    units = line_units(df).collect()
+    several = {u.line_key for u in units if u.within}
+    assert len(units) > len({u.chunk_key for u in units if u.within}) > 0 and several
+
+
+def test_a_line_delimits_the_same_chunk_wherever_it_stands(spark):
+    line = "この記事の内容は公開時点のものです。無断転載を禁じます。"
+    rows = [(i, f"https://a.example/{i}", f"{'前' * i}{i}\n{line}" + ("" if i % 2 else f"\n後{i}")) for i in range(30)]
+    units = [u for u in line_units(spark.createDataFrame(rows, PAGES)).collect() if u.line_no == 1]
+    assert len(units) == 30 and len({(u.chunk_key, u.within) for u in units}) == 1 and not units[0].within
+
+
+def test_cuts_move_with_content():
     data = random.Random(1).randbytes(60_000)
-    ends = chunk_ends(data)
-    sizes = [b - a for a, b in zip([0, *ends], ends)]
-    assert ends[-1] == len(data) and max(sizes) <= LONGEST and min(sizes[:-1]) >= SHORTEST and len(ends) > 20
-    parts = {data[a:b] for a, b in zip([0, *ends], ends)}
-    moved = b"prefix" + data
-    ends = chunk_ends(moved)
-    assert len(parts & {moved[a:b] for a, b in zip([0, *ends], ends)}) > 0.8 * len(parts)
-    assert chunk_ends(b"") == [0] and canonical_line(" Ａ１２\t3 ") == "a0"
+    cuts = natural_cuts(np.frombuffer(data, np.uint8))
+    moved = natural_cuts(np.frombuffer(b"prefix" + data, np.uint8))
+    assert set((cuts[cuts >= WINDOW] + 6).tolist()) <= set(moved.tolist()) and len(cuts) > 5000
+    assert canonical_line(" Ａ１２\t3 ") == "a0"
 
 
 ARTICLE = "".join(f"<p>これは本文の段落{i}です。少し長い文を続けて書き、内容のある文章にします。</p>\n" for i in range(5))
