@@ -1,7 +1,7 @@
 """Image functions on bytes.
 
-No imaging library is assumed: PNG and PNM are decoded here with zlib and
-numpy, and any other format by a ``decode`` function the caller brings
+No imaging library is assumed: JPEG, PNG and PNM are decoded here with zlib
+and numpy, and any other format by a ``decode`` function the caller brings
 (``bytes -> array of height x width x 3``, or None).
 """
 
@@ -17,6 +17,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from millrace.functions.jpeg import decode_jpeg
+
 Decode = Callable[[bytes], "np.ndarray | None"]
 
 
@@ -84,6 +86,8 @@ def decode_image(data: bytes, other: Decode | None = None) -> np.ndarray | None:
     try:
         if data[:8] == b"\x89PNG\r\n\x1a\n":
             return _png(data)
+        if data[:2] == b"\xff\xd8":
+            return decode_jpeg(data)
         if data[:2] in (b"P5", b"P6"):
             return _pnm(data)
         return other(data) if other else None

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,9 @@ from millrace.functions import predicates as P
 from millrace.functions import text as X
 from millrace.functions import vectors as V
 from millrace.functions.html import extract_pairs, extract_text
+from millrace.functions.images import color_count as color_count_of
 from millrace.functions.images import distinct_colors
+from millrace.functions.jpeg import grey_jpeg
 from millrace.functions.urls import host, join_url, site
 from millrace.operators import dedup, stats
 from millrace.plans import pipeline
@@ -405,6 +408,23 @@ def color_count(spark: SparkSession, d: str) -> DataFrame:
     return p.select("vec_id", distinct_colors(F.col("p")).alias("n_colors"), distinct_colors(F.col("p"), 4).alias("n_coarse"))
 
 
+@query(
+    """WITH a AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(greatest(least(floor((x + 1) * 127.5), 255), 0) AS INTEGER)) AS v FROM embeddings)
+    SELECT vec_id, CAST(len(list_distinct(v)) AS INTEGER) AS n_colors, CAST(len(list_distinct(list_transform(v, lambda x: x // 16))) AS INTEGER) AS n_coarse FROM a"""
+)
+def jpeg_colors(spark: SparkSession, d: str) -> DataFrame:
+    """Colours counted on the bytes of JPEGs, composed of the vectors' values as grey blocks."""
+    grey = F.transform(F.col("embedding").cast("array<double>"), lambda x: F.greatest(F.least(F.floor((x + 1) * 127.5), F.lit(255)), F.lit(0)).cast("int"))
+
+    @F.pandas_udf("binary")
+    def composed(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: grey_jpeg(v.tolist()))
+
+    images = table(spark, d, "embeddings").select("vec_id", composed(grey).alias("jpg"))
+    # As large as the picture, so that every block keeps its shade.
+    return images.select("vec_id", color_count_of("jpg").alias("n_colors"), color_count_of("jpg", bits=4).alias("n_coarse"))
+
+
 @query()
 def head_scores(spark: SparkSession, d: str) -> DataFrame:
     """Safety scores by a seeded head of the B32 shape, narrowed to the vectors' 64 dimensions."""
