@@ -100,8 +100,9 @@ MOST_PAIRS = 10
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.capping import best_scores
+    from millrace.plans.lineage import materialise
 
-    return best_scores(table(spark, d, "clip"), table(spark, d, "pair"))
+    return materialise(best_scores(table(spark, d, "clip"), table(spark, d, "pair")), "scored")
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:

@@ -1,7 +1,13 @@
+import re
+
+import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm.capping import cap_contributors, cut_by_cap, water_level
+from pyspark.sql import functions as F
+
+from millrace.llm.capping import _cut_off, cap_contributors, cut_by_cap, water_level
 
 
 def brute_level(sizes, share):
@@ -34,3 +40,31 @@ def test_caps_with_ties_nulls_and_nan(spark):
     assert cap_contributors(df, ["who"], "q", "id").count() == len(rows)
     assert cap_contributors(df, ["who"], "q", "id", max_share=0.4).count() == sum(min(n, brute_level([11, 1, 2], 0.4)) for n in (11, 1, 2))
     assert cap_contributors(df.limit(0), ["who"], "q", "id", max_share=0.4).count() == 0
+    with pytest.raises(ValueError):
+        cap_contributors(df, ["who"], "q", "id", max_share=0.05)
+
+
+def test_a_dominant_contributor_is_cut_without_a_window_over_it(spark):
+    random = np.random.default_rng(2)
+    who = np.where(random.random(6000) < 0.4, "big", np.char.add("w", random.integers(0, 40, 6000).astype(str)))
+    rows = [(i, None if w == "w7" else str(w), None if i % 97 == 0 else float("nan") if i % 89 == 0 else float(random.integers(0, 50)), str(i % 3)) for i, w in enumerate(who)]
+    df = spark.createDataFrame(rows, SCHEMA + ", _before string").repartition(7)
+    for level in (1, 60, 1500):
+        want = set()
+        for w in {r[1] for r in rows}:
+            own = sorted((r for r in rows if r[1] == w), key=lambda r: (-(r[2] if r[2] is not None and r[2] == r[2] else -1.0), r[0]))
+            want |= {r[0] for r in own[:level]}
+        kept = _cut_off(df, ["who"], F.when(F.isnan("q"), None).otherwise(F.col("q")), "id", level)
+        assert sorted(r.id for r in kept.collect()) == sorted(want) and kept.columns == df.columns
+    plan = kept._jdf.queryExecution().toString()
+    # Windows stand over counts by range, and over rows of one range; none over a contributor's rows.
+    plan = plan[plan.index("== Physical Plan ==") :]
+    windows = re.findall(r"Window \[(.*?) windowspecdefinition\((\w+)#", plan)
+    assert windows and all(key.startswith(("range", "key")) for _, key in windows) and all("row_number" not in f for f, key in windows if key.startswith("key"))
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "10")
+    try:
+        few = cap_contributors(df, ["who"], "q", "id", max_share=0.05)
+        sizes = sorted(few.groupBy("who").count().collect(), key=lambda r: -r["count"])
+        assert sizes[0]["count"] <= 0.05 * few.count()
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
