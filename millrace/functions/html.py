@@ -108,9 +108,14 @@ def extract_pairs(
     url_ok: Callable | None = None,
     caption_ok: Callable | None = None,
     id_col: str | None = None,
+    carry: tuple[str, ...] = ("title", "text"),
 ) -> DataFrame:
     """One row per captioned image: ``url, caption, page_title, page_url, text, position`` (and ``id_col``).
 
+    ``carry`` names which of the page's title and text go along; nothing is
+    pruned past the parser, so leave out what isn't used.  Pages without an
+    image tag don't reach it.
+
     ``pages`` has ``title, url, text, html``.  Image addresses are joined with
     the page's URL; ``url_ok`` and ``caption_ok`` are predicates on columns
     (see :mod:`millrace.functions.predicates`), None to keep all.  A page with
@@ -118,7 +123,7 @@ def extract_pairs(
     """
     from millrace.functions.urls import join_url
 
-    carried = [c for c in (id_col, "title", "url", "text") if c]
+    carried = [c for c in (id_col, "url", *carry) if c]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,10 +141,11 @@ def extract_pairs(
             )
 
     schema = T.StructType([*(pages.schema[c] for c in carried), *struct("_src STRING, caption STRING, position INT").fields])
-    found = pages.select(*carried, "html").filter("html <> ''").mapInArrow(run, schema)
+    found = pages.select(*carried, "html").filter(F.col("html").rlike("(?i)<img")).mapInArrow(run, schema)
     out = found.select(
         *([id_col] if id_col else []), join_url(F.col("url"), F.col("_src")).alias("_image"), "caption",
-        F.col("title").alias("page_title"), F.col("url").alias("page_url"), "text", "position",
+        *([F.col("title").alias("page_title")] if "title" in carry else []), F.col("url").alias("page_url"),
+        *(["text"] if "text" in carry else []), "position",
     ).withColumnRenamed("_image", "url")
     if url_ok is not None:
         out = out.filter(url_ok("url"))

@@ -23,12 +23,39 @@ def caption(figcaption: Column, alt: Column) -> Column:
     return F.coalesce(F.nullif(figcaption, F.lit("")), F.nullif(strip(alt), F.lit("")))
 
 
-def title(html: Column | str) -> Column:
-    """Text of ``<title>`` with the five named entities decoded; NULL if missing or empty."""
-    found = F.regexp_extract(html, r"(?is)<title[^>]*>(.*?)</title>", 1)
-    for name, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
+def _character(code: Column) -> Column:
+    """The character of a code point; NULL for those that are none."""
+    fine = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+    return F.when(fine, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+
+def unescape(text: Column) -> Column:
+    """Text with the usual named character references and all numeric ones resolved."""
+
+    def part(x: Column, i: Column) -> Column:
+        rest = F.substr(x, F.instr(x, ";") + 1)
+        decimal = _character(F.regexp_extract(x, "^([0-9]{1,7});", 1).try_cast("bigint"))
+        hexadecimal = _character(F.conv(F.regexp_extract(x, "^[xX]([0-9A-Fa-f]{1,6});", 1), 16, 10).try_cast("bigint"))
+        return F.when(i == 0, x).otherwise(F.coalesce(F.concat(F.coalesce(decimal, hexadecimal), rest), F.concat(F.lit("&#"), x)))
+
+    found = F.when(F.contains(text, F.lit("&#")), F.array_join(F.transform(F.split(text, "&#"), part), "")).otherwise(text)
+    for name, char in (("&nbsp;", "\u00a0"), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")):
         found = F.replace(found, F.lit(name), F.lit(char))
-    return F.nullif(strip(found), F.lit(""))
+    return found
+
+
+#: Where a page says its title, best first.
+TITLE_PATTERNS = (
+    r"(?is)<title[^>]*>(.*?)</title>",
+    r"""(?is)<meta\s[^>]*property=["']?og:title["']?\s[^>]*content=["']([^"'<>]*)["']""",
+    r"""(?is)<meta\s[^>]*content=["']([^"'<>]*)["'][^>]*\sproperty=["']?og:title["']?""",
+    r"(?is)<h1[^>]*>([^<]*)</h1>",
+)
+
+
+def title(html: Column | str) -> Column:
+    """The page's ``<title>``, else its og:title, else its first plain ``<h1>``; character references resolved; NULL if all are missing or empty."""
+    return F.coalesce(*[F.nullif(strip(unescape(F.regexp_extract(html, pattern, 1))), F.lit("")) for pattern in TITLE_PATTERNS])
 
 
 def japanese_share(text: Column | str) -> Column:

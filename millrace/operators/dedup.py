@@ -8,13 +8,14 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.plans.lineage import materialise
+from millrace.plans.lineage import discard, materialise
 from millrace.plans.skew import HOT_SLICES
 
 
@@ -58,7 +59,22 @@ def _in_order(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(kept, pa.int64())], ["ord"])
 
 
-def greedy_two_key(df: DataFrame, first_key: str = "url", second_key: str = "caption", ord: str = "ord") -> DataFrame:
+def _without_settled(rows: DataFrame, before: DataFrame) -> DataFrame:
+    """``ord, u, c`` of rows neither of whose keys is among the hashes ``u, c`` of ``before``."""
+    limit = max(2, math.ceil(rows.count() / HOT_SLICES))
+    for key in ("u", "c"):
+        earlier = before.select(F.col(key).alias("_earlier")).distinct()
+        state = rows.groupBy(key).agg(F.count("*").alias("n")).join(earlier, F.col(key) == F.col("_earlier"), "left")
+        rows = _drop_settled(rows, state.select(key, "n", F.col("_earlier").isNotNull().alias("settled")), key, limit)
+    return rows
+
+
+def key_hashes(df: DataFrame, first_key: str, second_key: str) -> DataFrame:
+    """``u, c``: the hashes by which :func:`greedy_two_key` compares keys."""
+    return df.select(F.xxhash64(first_key).alias("u"), F.xxhash64(F.lit(1), second_key).alias("c"))
+
+
+def greedy_two_key(df: DataFrame, first_key: str = "url", second_key: str = "caption", ord: str = "ord", before: DataFrame | None = None) -> DataFrame:
     """Rows a pass in order keeps: a row stays if neither key occurred in a row that stayed; others register nothing.
 
     The lexicographically first maximal matching of the two keys, found in
@@ -66,10 +82,13 @@ def greedy_two_key(df: DataFrame, first_key: str = "url", second_key: str = "cap
     the rows that are first among the open rows for both keys and drops all
     rows that share a key with them.  The rounds needed grow with the
     logarithm of the rows in usual orders; what a long chain leaves after
-    PARALLEL_ROUNDS is finished in order by one task once it is small enough.
+    PARALLEL_ROUNDS is finished in order by one task once it is small enough,
+    and goes on in rounds until then: the result is whole however long the
+    chain.  A round's table of open rows is removed with the next one's.
 
     ``ord`` must be a unique integer.  Rows with a null key are dropped; keys
-    are compared by 64-bit hashes of their values.
+    are compared by 64-bit hashes of their values.  ``before`` has the hashes
+    (see :func:`key_hashes`) of keys that count as taken from the start.
     """
     rows = (
         df.filter(F.col(first_key).isNotNull() & F.col(second_key).isNotNull())
@@ -78,28 +97,36 @@ def greedy_two_key(df: DataFrame, first_key: str = "url", second_key: str = "cap
         .groupBy("u", "c").agg(F.min("ord").alias("ord")).select("ord", "u", "c")
     )
     rows = materialise(rows, "open")
-    kept: DataFrame | None = None
-    for turn in range(10_000):
-        left = rows.count()
-        if not left:
-            break
+    if before is not None:
+        rows = materialise(_without_settled(whole := rows, before), "open")
+        discard(whole)
+    parts: list[DataFrame] = []
+    turn = 0
+    while left := rows.count():
         if turn >= PARALLEL_ROUNDS and left <= RESIDUE_ROWS:
-            rest = rows.coalesce(1).sortWithinPartitions("ord").mapInArrow(_in_order, "ord bigint")
-            rest = materialise(rest, "rest")
-            kept = rest if kept is None else kept.unionByName(rest)
+            parts.append(materialise(rows.coalesce(1).sortWithinPartitions("ord").mapInArrow(_in_order, "ord bigint"), "rest"))
+            discard(rows)
             break
+        turn += 1
         limit = max(2, math.ceil(left / HOT_SLICES))
         by_u = rows.groupBy("u").agg(F.min("ord").alias("ord"), F.count("*").alias("n"))
         by_c = rows.groupBy("c").agg(F.min("ord").alias("ord"), F.count("*").alias("n"))
-        now = materialise(by_u.select("ord", "u").join(by_c.select("ord", "c"), "ord"), "kept")
-        kept = now.select("ord") if kept is None else kept.unionByName(now.select("ord"))
+        now = materialise(by_u.select("ord", "u").join(by_c.select("ord", "c"), "ord").select("ord"), "kept")
+        parts.append(now)
         flags = now.select(F.col("ord").alias("_kept"))
         state_u = by_u.join(flags, F.col("ord") == F.col("_kept"), "left").select("u", "n", F.col("_kept").isNotNull().alias("settled"))
         state_c = by_c.join(flags, F.col("ord") == F.col("_kept"), "left").select("c", "n", F.col("_kept").isNotNull().alias("settled"))
-        rows = materialise(_drop_settled(_drop_settled(rows, state_u, "u", limit), state_c, "c", limit), "open")
-    if kept is None:
+        after = materialise(_drop_settled(_drop_settled(rows, state_u, "u", limit), state_c, "c", limit), "open")
+        discard(rows)
+        rows = after
+        if len(parts) >= 50:  # a long chain's many small tables become one
+            whole = materialise(reduce(DataFrame.unionByName, parts).coalesce(8), "kept")
+            for part in parts:
+                discard(part)
+            parts = [whole]
+    if not parts:
         return df.limit(0)
-    kept = kept.select(F.col("ord").alias("_kept_ord"))
+    kept = reduce(DataFrame.unionByName, parts).select(F.col("ord").alias("_kept_ord"))
     return df.join(kept, df[ord].cast("bigint") == kept["_kept_ord"], "left_semi")
 
 

@@ -20,11 +20,17 @@ _own_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors share, from the session; else one of our own."""
+    """Folder all executors share, from the session; on one machine, where it is unset, one of our own.
+
+    On a cluster without the setting RuntimeError is raised: executors would
+    write to their own disks what none of the others could read.
+    """
     global _own_folder
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if _own_folder is None:
         _own_folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
     return _own_folder
@@ -61,4 +67,14 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
         atexit.register(release)
     _written.add(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._millrace_path = path
+    return back
+
+
+def discard(df: DataFrame) -> None:
+    """Removes the table behind a result of :func:`materialise` at once, when nothing is to be computed from it any more."""
+    path = getattr(df, "_millrace_path", None)
+    if path in _written:
+        _remove(path)
+        _written.discard(path)

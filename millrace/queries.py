@@ -102,13 +102,29 @@ def html_lang_filter(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "html").filter(P.declares_language("html")).select("html_id")
 
 
-_TITLE = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
-for _a, _b in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
-    _TITLE = f"replace({_TITLE}, '{_a}', '{_b}')"
+def _unescape_sql(text: str) -> str:
+    fine = "({n} BETWEEN 1 AND 55295 OR {n} BETWEEN 57344 AND 1114111)"
+    decimal, digits = "CAST(regexp_extract(x, '^([0-9]{1,7});', 1) AS INTEGER)", "regexp_extract(x, '^[xX]([0-9A-Fa-f]{1,6});', 1)"
+    hexadecimal = f"CAST(list_reduce(list_prepend(0, list_transform(string_split(lower({digits}), ''), lambda c: instr('0123456789abcdef', c) - 1)), lambda a, b: a * 16 + b) AS INTEGER)"
+    found = f"""array_to_string(list_transform(string_split({text}, '&#'), lambda x, i: CASE WHEN i = 1 THEN x
+        WHEN regexp_matches(x, '^[0-9]{{1,7}};') THEN CASE WHEN {fine.format(n=decimal)} THEN chr({decimal}) || substr(x, instr(x, ';') + 1) ELSE '&#' || x END
+        WHEN regexp_matches(x, '^[xX][0-9A-Fa-f]{{1,6}};') THEN CASE WHEN {fine.format(n=hexadecimal)} THEN chr({hexadecimal}) || substr(x, instr(x, ';') + 1) ELSE '&#' || x END
+        ELSE '&#' || x END), '')"""
+    for name, char in (("&nbsp;", "chr(160)"), ("&lt;", "'<'"), ("&gt;", "'>'"), ("&quot;", "chr(34)"), ("&apos;", "chr(39)"), ("&amp;", "'&'")):
+        found = f"replace({found}, '{name}', {char})"
+    return found
+
+
 _STRIP = "regexp_replace({x}, '^[\\s\\x{{0B}}\\x{{1C}}-\\x{{1F}}\\x{{85}}\\p{{Z}}]+|[\\s\\x{{0B}}\\x{{1C}}-\\x{{1F}}\\x{{85}}\\p{{Z}}]+$', '', 'g')"
 
 
-@query(f"SELECT html_id, title FROM (SELECT html_id, {_STRIP.format(x=_TITLE)} AS title FROM html WHERE html IS NOT NULL) WHERE title <> ''")
+def _title_sql(html: str) -> str:
+    doubled = [pattern.replace("'", "''") for pattern in X.TITLE_PATTERNS]
+    tried = ", ".join("nullif(" + _STRIP.format(x=_unescape_sql(f"regexp_extract({html}, '{pattern}', 1)")) + ", '')" for pattern in doubled)
+    return f"coalesce({tried})"
+
+
+@query(f"SELECT html_id, title FROM (SELECT html_id, {_title_sql('html')} AS title FROM html WHERE html IS NOT NULL) WHERE title <> ''")
 def title_extract(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "html").select("html_id", X.title("html").alias("title")).filter(P.has_text("title"))
 
@@ -134,11 +150,21 @@ def text_extract(spark: SparkSession, d: str) -> DataFrame:
     return extract_text(pages).filter(P.has_text("text")).select("html_id", "text")
 
 
+_RECIPE = "'<html><head><title>t</title><script>x()</script></head><body><nav><a href=\"/\">menu ' || html_id || '</a></nav><h1>題 ' || html_id || '</h1><div><p> first   line &amp; ' || (html_id % 5) || ' </p><p>second<br>third &#x3042;</p><p>second</p></div><table><tr><td>cell</td></tr></table><ul><li>item</ul><footer>end</footer></body>'"
+
+
+@query("SELECT html_id, '題 ' || html_id || chr(10) || 'first line & ' || (html_id % 5) || chr(10) || 'second' || chr(10) || 'third あ' || chr(10) || 'item' AS text, 't' AS title FROM html")
+def text_of_recipe(spark: SparkSession, d: str) -> DataFrame:
+    """Main text and title of pages composed around each page's id, of which the right result is known."""
+    pages = table(spark, d, "html").select("html_id", F.expr(_RECIPE).alias("html"))
+    return extract_text(pages).select("html_id", "text", X.title("html").alias("title"))
+
+
 @query()
 def pairs_extract(spark: SparkSession, d: str) -> DataFrame:
     """Image and caption pairs of the good pages, with the default policies."""
-    pages = table(spark, d, "goodhtml").select("page_id", "title", F.col("page_url").alias("url"), "text", "html")
-    return extract_pairs(pages, P.is_web_image, P.is_good_caption, "page_id").select("page_id", "position", "url", "caption")
+    pages = table(spark, d, "goodhtml").select("page_id", F.col("page_url").alias("url"), "html")
+    return extract_pairs(pages, P.is_web_image, P.is_good_caption, "page_id", carry=()).select("page_id", "position", "url", "caption")
 
 
 _PAGE_SCHEME = "regexp_extract(page_url, '^([A-Za-z]+):', 1)"
@@ -307,11 +333,14 @@ def dedup_first_seen(spark: SparkSession, d: str) -> DataFrame:
     return dedup.first_seen(images, "phash", "image_id").select("image_id")
 
 
-@query()
+@query("SELECT count(DISTINCT phash) AS n_exact, true AS only_first_rows, true AS nearly_all FROM images")
 def dedup_first_seen_bloom(spark: SparkSession, d: str) -> DataFrame:
-    """Bounded memory: a subset of the exact result, short by about the error rate."""
+    """Bounded memory: first rows only, and short of all of them by no more than twice the error rate."""
     images = table(spark, d, "images").select("image_id", "phash").filter("phash IS NOT NULL")
-    return dedup.first_seen_bloom(images, "phash", "image_id").select("image_id")
+    kept = dedup.first_seen_bloom(images, "phash", "image_id").select("image_id", F.lit(1).alias("n"))
+    exact = dedup.first_seen(images, "phash", "image_id").select("image_id", F.lit(1).alias("m"))
+    both = exact.join(kept, "image_id", "full").agg(F.count("m").alias("n_exact"), F.count_if(F.col("m").isNull()).alias("more"), F.count("n").alias("n"))
+    return both.select("n_exact", (F.col("more") == 0).alias("only_first_rows"), (F.col("n") >= 0.98 * F.col("n_exact")).alias("nearly_all"))
 
 
 @query(
@@ -425,10 +454,29 @@ def jpeg_colors(spark: SparkSession, d: str) -> DataFrame:
     return images.select("vec_id", color_count_of("jpg").alias("n_colors"), color_count_of("jpg", bits=4).alias("n_coarse"))
 
 
-@query()
+def _head_sql(head: V.Head) -> str:
+    """The head's layers as list arithmetic, with its weights written out."""
+    steps, last = [], len(head.layers)
+    for i, (weights, bias) in enumerate(head.layers):
+        columns = "[" + ", ".join("[" + ", ".join(repr(float(x)) for x in column) + "]" for column in weights.T) + "]"
+        value = "list_inner_product(x, w) + bias[i]"
+        value = f"greatest({value}, 0)" if i + 1 <= last - head.linear_tail else value
+        bias = [float(b) for b in bias]
+        steps.append(f"l{i + 1} AS (SELECT vec_id, list_transform({columns}::DOUBLE[][], lambda w, i: {value}) AS x FROM (SELECT *, {bias}::DOUBLE[] AS bias FROM l{i}))")
+    return ", ".join(steps)
+
+
+_HEAD = V.Head.seeded("B32", 8492, 64)
+
+
+@query(
+    f"""WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+        l0 AS (SELECT vec_id, list_transform(v, lambda a: a / greatest(sqrt(list_inner_product(v, v)), 1e-12)) AS x FROM v), {_head_sql(_HEAD)}
+    SELECT vec_id, round(1 / (1 + exp(-x[1])), 6) AS punsafe FROM l{len(_HEAD.layers)}"""
+)
 def head_scores(spark: SparkSession, d: str) -> DataFrame:
     """Safety scores by a seeded head of the B32 shape, narrowed to the vectors' 64 dimensions."""
-    return table(spark, d, "embeddings").select("vec_id", V.head_score("embedding", V.Head.seeded("B32", 8492, 64)).alias("punsafe"))
+    return table(spark, d, "embeddings").select("vec_id", F.round(V.head_score("embedding", _HEAD), 6).alias("punsafe"))
 
 
 @query(

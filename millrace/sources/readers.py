@@ -57,10 +57,19 @@ def path_lists(spark: SparkSession, path: str, prefix: str) -> DataFrame:
     return archive_urls(lines, prefix).select("snapshot_file", "value", "url")
 
 
+def _lines_in_order(spark: SparkSession, path: str) -> tuple[DataFrame, list]:
+    """Stripped lines, and what orders them by file and line: a task reads the lines of a split in turn, so
+    within one the increasing ids do; splits go by their place in the file, whatever partition they came in."""
+    lines = spark.read.text(path).select(
+        strip("value").alias("value"), F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"), F.monotonically_increasing_id().alias("_line")
+    )
+    return lines, ["_file", "_start", "_line"]
+
+
 def url_list(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """``value`` of each line, stripped; the first ``limit`` by file and line if given."""
-    lines = spark.read.text(path).select(strip("value").alias("value"), F.monotonically_increasing_id().alias("_line"))
-    return (lines.orderBy("_line").limit(limit) if limit is not None else lines).select("value")
+    """``value`` of each line, stripped; the first ``limit`` by file name and line if given."""
+    lines, order = _lines_in_order(spark, path)
+    return (lines.orderBy(*order).limit(limit) if limit is not None else lines).select("value")
 
 
 def json_lines(spark: SparkSession, path: str, schema: T.StructType = RAW_HTML) -> DataFrame:
@@ -86,7 +95,8 @@ def with_order(df: DataFrame, out: str = "ord") -> DataFrame:
 
 def word_list(spark: SparkSession, path: str, keep_empty: bool = False) -> list[str]:
     """Listed words in order of files and lines, stripped, empty ones left out unless kept; for lists that fit the driver."""
-    return [w for w in (r["value"].strip() for r in url_list(spark, path).collect()) if w or keep_empty]
+    lines, order = _lines_in_order(spark, path)
+    return [w for w in (r["value"].strip() for r in lines.orderBy(*order).select("value").collect()) if w or keep_empty]
 
 
 def domain_list(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -185,7 +195,8 @@ def npy_vectors(spark: SparkSession, path: str) -> DataFrame:
 def newline_counts(spark: SparkSession, paths: list[str], chunk: int = 1 << 20) -> DataFrame:
     """``file, n``: newline bytes of each file, read in chunks, so an unterminated last line isn't counted.
 
-    Files that can't be read count 0.  Paths must be open to every executor.
+    Files that can't be read count 0.  Paths may be of any storage that
+    :func:`millrace.sources.warc.open_file` opens, and must be open to every executor.
     """
     from millrace.sources.warc import open_file
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from millrace.operators.dedup import greedy_two_key
+from millrace.operators.dedup import greedy_two_key, key_hashes
+from millrace.sources.sinks import has_parts
 
 
 def stream_stage(
@@ -48,22 +49,21 @@ def greedy_stream(
 ) -> StreamingQuery:
     """Two-key greedy deduplication over files as they come; earlier batches go before later ones.
 
-    Each batch is freed of rows whose key the table at ``seen`` has, the rest
-    passes the batch operator, and the kept keys are added under the batch's
-    number, so a batch run again replaces its own.
+    Each batch passes the batch operator with the keys of the table at
+    ``seen`` taken from the start, and its own kept keys are added under the
+    batch's number, so a batch run again replaces its own.  A table that is
+    there but can't be read fails the batch.
     """
+    schema_of_seen = "u BIGINT, c BIGINT, batch INT"
 
     def each(batch: DataFrame, number: int) -> None:
-        own = f"{seen}/batch={number}"
-        try:
-            before = spark.read.schema("first STRING, second STRING, batch INT").parquet(seen).filter(F.col("batch") != number)
-        except Exception:  # nothing written yet
-            before = spark.createDataFrame([], "first STRING, second STRING, batch INT")
-        fresh = batch.join(before.select(F.col("first").alias(first_key)), first_key, "left_anti")
-        fresh = fresh.join(before.select(F.col("second").alias(second_key)), second_key, "left_anti").select(*batch.columns)
-        kept = greedy_two_key(fresh, first_key, second_key, ord)
+        before = None
+        if has_parts(spark, seen):
+            before = spark.read.schema(schema_of_seen).parquet(seen).filter(F.col("batch") != number)
+        kept = greedy_two_key(batch, first_key, second_key, ord, before)
         kept.write.mode("overwrite").parquet(f"{target}/batch={number}")
-        spark.read.parquet(f"{target}/batch={number}").select(F.col(first_key).alias("first"), F.col(second_key).alias("second")).write.mode("overwrite").parquet(own)
+        written = spark.read.schema(batch.schema).parquet(f"{target}/batch={number}")
+        key_hashes(written, first_key, second_key).write.mode("overwrite").parquet(f"{seen}/batch={number}")
 
     return (
         spark.readStream.schema(schema).parquet(source).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -66,6 +66,8 @@ def test_bounds(spark):
 def test_text_functions(spark):
     assert column(spark, ["　 a b \n", "", None], X.strip) == ["a b", "", None]
     assert column(spark, ["<html><TITLE a=b>\n A &amp;lt; B </title>", "<title></title>", "x", None], X.title) == ["A &lt; B", None, None, None]
+    odd = ["<title>a&#65;&#x3042;;b &#0;&#99999999;&#xD800;&#</title>", "<title> </title><meta name=x property='og:title' content='og &nbsp;t'>", "<meta content=late property=og:title>", '<meta content="two" property="og:title">', "<h1 class=x>head</h1>"]
+    assert column(spark, odd, X.title) == ["aAあ;b &#0;&#99999999;&#xD800;&#", "og \xa0t", None, "two", "head"]
     texts = ["日本語テキスト", "ascii"]
     raw = [texts[0].encode(e) for e in ("utf-8", "euc_jp", "cp932")] + [b"ascii", None]
     assert column(spark, raw, X.decode_bytes, "binary")[0] == texts[0]

@@ -1,4 +1,5 @@
 import gzip
+import io
 import json
 import os
 
@@ -117,7 +118,19 @@ def test_archive_to_pages(spark, tmp_path):
     records = spark.read.format("warc").load(str(tmp_path / "x.warc.gz"))
     assert records.count() == 6
     assert sorted((r.url, r.html) for r in pipeline.pages_from_archive(records).collect()) == [("http://a.example/", page), ("http://b.example/", page)]
-    assert spark.read.format("warc").load(f"{tmp_path}/*.warc").count() == 5
+    cut = spark.read.format("warc").load(f"{tmp_path}/*.warc")
+    assert cut.count() == 6 and cut.filter("rec_type = 'damaged'").count() == 1
+    (tmp_path / "broken.warc").write_bytes(parts[0] + b"noise\r\nmore noise\r\n" + parts[2] + parts[5])
+    (tmp_path / "broken.warc.gz").write_bytes(gzip.compress(parts[0]) + gzip.compress(parts[1])[:-30] + b"\0" * 40)
+    kinds = lambda name: [r.rec_type for r in spark.read.format("warc").load(f"{tmp_path}/{name}").collect()]
+    assert kinds("broken.warc") == ["response", "damaged", "response", "request"]
+    assert kinds("broken.warc.gz")[0] == "response" and kinds("broken.warc.gz")[-1] == "damaged"
+    small = spark.read.format("warc").option("largest", 10).load(f"{tmp_path}/broken.warc").collect()
+    assert [bytes(r.payload) for r in small] == [b""] * 4 and small[2].url == "http://c.example/"
+    from pyarrow import fs
+
+    with fs.LocalFileSystem().open_input_stream(str(tmp_path / "y.warc"), compression=None) as raw:
+        assert len(list(warc.records(io.BufferedReader(raw)))) == 6
 
 
 def test_readers_and_sinks(spark, tmp_path):
@@ -208,6 +221,64 @@ def test_streams(spark, tmp_path):
     assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "f")).collect()) == ["a", "b", "c"]
 
 
+def test_seen_table_that_cannot_be_read_fails_the_stream(spark, tmp_path):
+    source, schema = str(tmp_path / "in"), schemas.struct(PAIRS)
+    spark.createDataFrame([(1, "a", "x")], schema).write.parquet(source)
+    (tmp_path / "seen" / "batch=7").mkdir(parents=True)
+    (tmp_path / "seen" / "batch=7" / "part-0.parquet").write_bytes(b"no parquet")
+    with pytest.raises(Exception):
+        stages.greedy_stream(spark, source, schema, str(tmp_path / "out"), str(tmp_path / "seen"), str(tmp_path / "c1")).awaitTermination()
+
+
+def test_order_of_lists_follows_files_and_lines(spark, tmp_path):
+    (tmp_path / "a.txt").write_text("a0\na1\n")
+    (tmp_path / "b.txt").write_text("".join(f"b{i}\n" for i in range(200_000)))
+    (tmp_path / "c.txt").write_text("c0\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        assert [r.value for r in readers.url_list(spark, str(tmp_path), 4).collect()] == ["a0", "a1", "b0", "b1"]
+        words = readers.word_list(spark, str(tmp_path))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert words == ["a0", "a1", *(f"b{i}" for i in range(200_000)), "c0"]
+
+
+def test_long_chain_is_whole(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "PARALLEL_ROUNDS", 3)
+    monkeypatch.setattr(dedup, "RESIDUE_ROWS", 20)
+    rows = [(i, f"u{i // 2}", f"c{(i + 1) // 2}") for i in range(60)]  # each row shares a key with the one before
+    df = spark.createDataFrame(rows, PAIRS)
+    assert sorted(r.ord for r in dedup.greedy_two_key(df, "url", "caption", "ord").collect()) == greedy(rows)
+
+
+def test_files_are_made_once(spark, tmp_path):
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    for name, values in (("a", [1, 2]), ("b", [3]), ("c", [-1])):
+        one = str(tmp_path / name)
+        spark.createDataFrame([(v,) for v in values], "v int").coalesce(1).write.parquet(one)
+        os.makedirs(source, exist_ok=True)
+        os.rename(next(str(p) for p in (tmp_path / name).glob("*.parquet")), f"{source}/{name}.parquet")
+    make = lambda df: df.filter("v > 0")
+    assert sinks.run_files(spark, source, make, target, at_once=2) == 3 and sinks.run_files(spark, source, make, target) == 0
+    assert sorted(r.v for r in spark.read.option("recursiveFileLookup", "true").parquet(f"{target}/origin=a.parquet", f"{target}/origin=b.parquet").collect()) == [1, 2, 3]
+    assert os.path.isdir(f"{target}/origin=c.parquet")
+    import shutil
+
+    shutil.rmtree(f"{target}/origin=b.parquet")
+    assert sinks.run_files(spark, source, make, target) == 1 and sinks.run_files(spark, source, make, target, overwrite=True) == 3
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+
+    from millrace.plans import lineage
+
+    conf = SimpleNamespace(get=lambda *_: None)
+    cluster = SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf, master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        lineage.shared_folder(cluster)
+
+
 def test_materialise_and_release(spark, tmp_path):
     from millrace.plans import lineage
 
