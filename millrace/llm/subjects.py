@@ -18,17 +18,21 @@ import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from millrace.llm.ngrams import coarse
 from millrace.plans.lineage import materialise
 
 #: Size of the hashed vocabulary.
 TERM_BITS = 18
-#: Terms in a smaller share of the documents are left out: names and slips.
-LEAST_SHARE = 1.5e-3
+#: Terms in fewer documents are left out, but for those of the examples: names and slips.
+LEAST_DOCS = 15
+#: Documents inferred at once, and columns of the model that are summed together.
+SLICE, BLOCK = 2000, 8192
 #: Rounds of EM over the corpus, and of inference within a document.
 ROUNDS, INNER = 5, 4
 #: Dirichlet parameters of documents (subject, common topic) and of topics.
@@ -38,11 +42,15 @@ LEAST_SENTENCES, LEAST_TERMS = 0.25, 0.7
 #: Terms speak for a subject only if so much of their occurrences in the corpus belongs to one.
 PURITY = 0.6
 
-_TERM = r"[一-鿿々〆ヶ]+|[ァ-ヺー]{2,}|[a-zäöüßéè]{3,}"
+_TERM = r"[一-鿿々〆ヶ]+|[ァ-ヺー]{2,}|[a-zß-öø-ɏ]{3,}|[Ͱ-Ͽ]{3,}|[Ѐ-ԯ]{3,}|[가-힣]{2,}|[\u0590-\u06ff]{2,}|[\u0900-\u0fff]{3,}"
 #: A sentence ends after an end mark that no closing bracket follows, after a Latin word's full stop, and at line ends.
-_END = r"(?:[。!?](?![」』）)])|(?<=[a-zäöüß0-9)\"”])\.(?=\s)|\n)[\s。!?]*"
+_END = r"(?:[。!?](?![」』）)])|(?<=[a-zß-öø-ɏͰ-ԯ0-9)\"”])\.(?=\s)|\n)[\s。!?]*"
 _TERMS = re.compile(_TERM)
 _TOKENS = re.compile(f"{_TERM}|{_END}")
+#: The same for texts without kanji and katakana: their words are runs of hiragana.
+_KANA_TERM = _TERM + "|[ぁ-ゖー]{2,}"
+_KANA_TERMS, _KANA_TOKENS = re.compile(_KANA_TERM), re.compile(f"{_KANA_TERM}|{_END}")
+_HEAVY = re.compile("[一-鿿ァ-ヺ]")
 _INVISIBLE = re.compile("[­​-‏ -‮⁠-⁤﻿︀-️]")
 
 
@@ -61,8 +69,9 @@ def sentences(text: str) -> list[str]:
 
 
 def terms(text: str) -> list[str]:
-    """Runs of kanji, of katakana and of Latin letters of a text in lower case."""
-    return _TERMS.findall(text.lower())
+    """Runs of one script of a text in lower case; hiragana only where there is neither kanji nor katakana."""
+    text = text.lower()
+    return (_TERMS if _HEAVY.search(text) else _KANA_TERMS).findall(text)
 
 
 class _Slots(dict):
@@ -71,7 +80,7 @@ class _Slots(dict):
     def __missing__(self, token: str) -> int:
         if len(self) > 400_000:
             self.clear()
-        found = xxhash.xxh3_64_intdigest(token.encode()) >> (64 - TERM_BITS) if _TERMS.match(token) else -1
+        found = xxhash.xxh3_64_intdigest(token.encode()) >> (64 - TERM_BITS) if _KANA_TERMS.match(token) else -1
         self[token] = found
         return found
 
@@ -97,7 +106,7 @@ def bags(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for text in batch.column(1).to_pylist():
                 text = _clean(text) if text else ""
                 if text:
-                    tokens += map(_slots.__getitem__, _TOKENS.findall(text))
+                    tokens += map(_slots.__getitem__, (_TOKENS if _HEAVY.search(text) else _KANA_TOKENS).findall(text))
                     tokens.append(-1)
                 sizes.append(len(tokens))
             flat, edges = np.array(tokens, np.int32), np.array(sizes)
@@ -135,7 +144,7 @@ def document_counts(table: DataFrame) -> np.ndarray:
         used = np.flatnonzero(counts)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used])], ["slot", "n"])
 
-    found = table.mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    found = table.coalesce(coarse(table)).mapInArrow(run, "slot int, n bigint").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
     counts = np.zeros(1 << TERM_BITS, np.int64)
     counts[found.column("slot").to_numpy()] = found.column("n").to_numpy()
     return counts
@@ -180,7 +189,9 @@ def start_model(examples: list[tuple[str, str]], docs_with: np.ndarray, n_docs:
     common topic; every other slot may turn out to belong to any.
     """
     names = sorted({s for s, _ in examples})
-    used = np.flatnonzero(docs_with >= max(2.0, LEAST_SHARE * n_docs))
+    given = np.zeros(1 << TERM_BITS, bool)
+    given[[slot(t) for _, body in examples for x in sentences(body) for t in terms(x)]] = True
+    used = np.flatnonzero((docs_with >= LEAST_DOCS) | given & (docs_with > 0))
     index = np.full(1 << TERM_BITS, -1, np.int32)
     index[used] = np.arange(len(used))
     seen = np.zeros((len(used), len(names)))
@@ -198,7 +209,12 @@ def start_model(examples: list[tuple[str, str]], docs_with: np.ndarray, n_docs:
 
 
 def _expected(table: DataFrame, model: TopicModel) -> np.ndarray:
-    """One round: expected counts of columns x topics over all documents."""
+    """One round: expected counts of columns x topics over all documents.
+
+    Each of as many tasks as the session has cores, twice over, sends its sums
+    once, in blocks of BLOCK columns that meet block by block: what is shuffled
+    grows with the cluster and not with the data.
+    """
     shape = model.weights.shape
     shared = table.sparkSession.sparkContext.broadcast(model)
 
@@ -206,21 +222,25 @@ def _expected(table: DataFrame, model: TopicModel) -> np.ndarray:
         own = shared.value
         total = np.zeros(shape)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 _, _, doc, term, _ = _columns(part)
                 column = own.index[term]
                 doc, column = doc[column >= 0], column[column >= 0]
                 share = own.infer(doc, column, part.num_rows)
                 for k in range(shape[1]):
                     total[:, k] += np.bincount(column, share[:, k], minlength=shape[0])
-        flat = total.ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat), dtype=np.int32)), pa.array(flat)], ["cell", "n"])
+        blocks = [total[at : at + BLOCK].tobytes() for at in range(0, shape[0], BLOCK)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blocks), dtype=np.int32)), pa.array(blocks, pa.binary())], ["block", "n"])
+
+    def add(group: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(x, np.float64) for x in group["n"])
+        return pd.DataFrame({"block": group["block"].iloc[:1], "n": [total.tobytes()]})
 
-    found = table.mapInArrow(run, "cell int, n double").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    total = np.zeros(shape[0] * shape[1])
-    total[found.column("cell").to_numpy()] = found.column("n").to_numpy()
-    return total.reshape(shape)
+    few = table.coalesce(coarse(table)).mapInArrow(run, "block int, n binary")
+    found = few.groupBy("block").applyInPandas(add, "block int, n binary").collect()
+    total = [np.frombuffer(r["n"], np.float64) for r in sorted(found, key=lambda r: r["block"])]
+    return np.concatenate([np.zeros(0), *total]).reshape(-1, shape[1]) if total else np.zeros(shape)
 
 
 def map_topics(model: TopicModel, examples: list[tuple[str, str]], top: int = 40) -> list[str | None]:
@@ -264,8 +284,8 @@ def subject_shares(table: DataFrame, model: TopicModel) -> DataFrame:
         names = [x.split()[0] for x in _SHARES.split(", ")]
         labels = np.array([s or "" for s in own.subjects], object)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
                 ids, n_sentences, doc, term, place = _columns(part)
                 column = own.index[term] if len(own.weights) else np.full(len(term), -1)
                 kept = column >= 0

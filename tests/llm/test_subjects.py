@@ -47,3 +47,31 @@ def test_sentences_and_bags(spark):
     df = spark.createDataFrame([(1, "判決文。味噌と出汁。"), (2, None), (3, "。。")], "doc_id bigint, text string")
     got = {r.row_id: r for r in bags(df, "doc_id", "text").collect()}
     assert got[1].n_sentences == 2 and got[1].places == [0, 1, 1] and got[2].n_sentences == 0 and got[3].n_sentences == 0
+
+
+RUSSIAN = {"law": ["приговор", "истец", "адвокат", "завещание"], "food": ["бульон", "соус", "лапша", "рецепт"], "sport": ["матч", "тренер", "судья"]}
+KOREAN = {"law": ["판결문을", "변호사가", "유언장은"], "food": ["된장국을", "두부는", "국수가"], "sport": ["감독이", "선수는", "결승전을"]}
+KANA = {"law": ["さいばん", "べんごし", "ゆいごん"], "food": ["みそしる", "とうふ", "うどん"], "sport": ["しあい", "かんとく", "せんしゅ"]}
+
+
+def test_other_scripts(spark):
+    r = random.Random(4)
+    rows, truth, examples = [], {}, []
+    for words, sentence in ((RUSSIAN, "Вчера был {} и ещё {}."), (KOREAN, "어제 {} {} 보았다."), (KANA, "きのう {} と {} だった。")):
+        examples += [(s, " ".join(sentence.format(t, t) for t in words[s])) for s in words]
+        for _ in range(60):
+            i, s = len(rows), r.choice(list(words))
+            rows.append((i, " ".join(sentence.format(r.choice(words[s]), r.choice(words[s])) for _ in range(4))))
+            truth[i] = s
+    got = {}
+    for row in assign_subjects(spark.createDataFrame(rows, "doc_id bigint, text string"), spark.createDataFrame(examples, "subject string, body string")).collect():
+        got.setdefault(row.doc_id, set()).add(row.subject)
+    assert sum(got.get(i) == {s} for i, s in truth.items()) > 0.9 * len(truth)
+
+
+def test_a_small_subject_is_found_among_many_documents(spark):
+    r = random.Random(6)
+    rows = [(i, text(r, r.choice(["law", "food"]), 4)) for i in range(6000)] + [(10_000 + i, text(r, "sport", 4)) for i in range(6)]
+    examples = [(s, "".join(f"{t}の話が続いた。" for t in TERMS[s])) for s in TERMS]
+    got = assign_subjects(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4), spark.createDataFrame(examples, "subject string, body string"))
+    assert {r.doc_id for r in got.filter("subject = 'sport'").collect()} == {10_000 + i for i in range(6)}
