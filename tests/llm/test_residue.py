@@ -1,5 +1,12 @@
+import os
+import sys
+
+import pytest
+
 from millrace.llm.residue import mark_residue
 
+sys.path.insert(0, os.path.dirname(__file__))
+
 NATURAL = [f"{a}市場で撮った{b}（{i}枚目）" for i, (a, b) in enumerate((a, b) for a in ("トラノ", "ミナト", "サクラ", "カモメ") for b in ("朝食", "露天風呂", "鍛冶", "入学式", "鶏舎") * 5)]
 GOOD = ["404号室のドアプレート、ミナト会館", "Not Found という題の油絵（サクラ作）", "『はじめてのJavaScript』の表紙（カモメ書房）", "[左から] トラノさん、兄、妹", "写真", "ロゴ"]
 BAD = [
@@ -29,3 +36,17 @@ def test_frequent_residue(spark):
         captions = [*natural, *["写真"] * 50, *[one] * (len(natural) // 2)]
         df = spark.createDataFrame([(i, c, None, None) for i, c in enumerate(captions)], "pair_id bigint, caption string, page_title string, text string")
         assert {captions[r.row_id] for r in mark_residue(df).filter("residue").collect()} == {one}
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
+def test_held_out(spark):
+    """On captions that the lists and thresholds weren't made from; the natural model is of the test table."""
+    from held_out import NATURAL as OTHERS
+    from held_out import RESIDUE
+
+    from millrace.llm.residue import NATURAL_ORDER, Detector, fit_natural
+    from millrace.session import table
+
+    detector = Detector(*[x[:NATURAL_ORDER].astype("float32") for x in fit_natural(table(spark, "/root/testdata/sf0.01", "pair"))])
+    found, wrong = detector.residue(RESIDUE).sum(), detector.residue(OTHERS).sum()
+    assert found >= 0.9 * len(RESIDUE) and found >= 0.9 * (found + wrong)
