@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import struct
 from array import array
+from functools import lru_cache
 
 import numpy as np
 
@@ -26,6 +27,7 @@ class _Component:
         self.dc = self.ac = None  # lookup tables of the present scan
 
 
+@lru_cache(64)
 def _lookup(sizes: bytes, symbols: bytes) -> list[int]:
     """Of every 16 bits: length of the code they begin with times 256, and its symbol; 0 where there is none."""
     table = np.zeros(1 << 16, np.int64)
