@@ -38,6 +38,15 @@ def p1_audit(spark: SparkSession, d: str) -> DataFrame:
     return audit.select(_field().alias("field"), "rows", "asked", "behind", "flagged", "false_alarms", "missed", "wrong_share")
 
 
+def p1_checked(spark: SparkSession, d: str) -> DataFrame:
+    """What the audit must come to whatever the layout: rows and repeats by field, none missed, and few answers of the tables wrong."""
+    from millrace.llm.seen import seen_before
+
+    audit = seen_before(_seen_keys(spark, d))[1]
+    repeated = F.col("flagged") + F.col("behind") - F.col("false_alarms") + F.col("missed")
+    return audit.select(_field().alias("field"), "rows", repeated.alias("repeated"), "missed", (F.col("wrong_share") < 1e-3).alias("few_wrong"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.mainbody import surrounding_lines
 
@@ -137,18 +146,55 @@ def p7_collisions(spark: SparkSession, d: str) -> DataFrame:
     return collision_count(hash_records(table(spark, d, "pair"), "pair_id", ["caption"], ["url"]))
 
 
+def p7_checked(spark: SparkSession, d: str) -> DataFrame:
+    """Copies add up to the rows that have a url and a caption; no group's hash met another record."""
+    from millrace.llm.canonical import collapse_records, collision_count, hash_records
+
+    pairs = table(spark, d, "pair")
+    groups, found = collapse_records(pairs, "pair_id", ["caption"], ["url"])
+    parts = [
+        groups.agg(F.sum("copies").alias("n_rows"), (F.sum("copies") - F.count("*")).alias("more")),
+        found.agg(F.count("*").alias("found")),
+        collision_count(hash_records(pairs, "pair_id", ["caption"], ["url"])).select("collisions"),
+    ]
+    both = parts[0].unionByName(parts[1], True).unionByName(parts[2], True).agg(*[F.sum(c).alias(c) for c in ("n_rows", "more", "found", "collisions")])
+    return both.select("n_rows", (F.col("more") == F.col("found")).alias("all_copies_found"), (F.col("collisions") == 0).alias("no_collision"))
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.tokens import encode_texts
 
     return encode_texts(table(spark, d, "documents"))
 
 
+def p8_decoded(spark: SparkSession, d: str) -> DataFrame:
+    """The texts as they come back from their ids; an exact round trip gives each document's text."""
+    from millrace.llm.tokens import decode_ids, encode_texts
+
+    return decode_ids(encode_texts(table(spark, d, "documents")))
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.mixing import mix_sources
 
     return mix_sources(table(spark, d, "documents"), table(spark, d, "source_targets"))[0]
 
 
+def p9_checked(spark: SparkSession, d: str) -> DataFrame:
+    """By wished source with documents: no document occurs more often than the source allows, and its tokens are the target's but for those of two documents."""
+    from millrace.llm.mixing import mix_sources
+
+    mix, shares = mix_sources(table(spark, d, "documents"), table(spark, d, "source_targets"))
+    wished = shares.filter("target_share > 0 AND max_repeats > 0 AND n_tokens > 0")
+    sums = wished.agg(F.sum("target_share").alias("whole"), F.sum("mix_tokens").alias("tokens")).first()
+    longest = mix.agg(F.max("n_tokens")).first()[0] or 0
+    most = mix.groupBy("source").agg(F.max("copies").alias("most"))
+    wanted = F.col("target_share") / (sums["whole"] or 1.0) * (sums["tokens"] or 0)
+    return wished.join(most, "source", "left").select(
+        "source", "n_docs", (F.coalesce("most", F.lit(0)) <= F.col("max_repeats")).alias("within_repeats"), (F.abs(F.col("mix_tokens") - wanted) <= 2 * longest).alias("near_target")
+    )
+
+
 def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     from millrace.llm.mixing import mix_sources
 
@@ -188,6 +234,13 @@ def oracle_sql() -> dict[str, str]:
         "p6_found": f"""WITH {scored}
             SELECT pair_id FROM (SELECT pair_id, row_number() OVER (PARTITION BY snapshot_id, site ORDER BY score DESC, pair_id) AS n FROM scored)
             WHERE n > {MOST_PAIRS}""",
+        "p1_checked": " UNION ALL ".join(
+            f"SELECT '{t}.{c}' AS field, count(*) AS rows, count(*) - count(DISTINCT {c}) AS repeated, CAST(0 AS BIGINT) AS missed, true AS few_wrong FROM {t} WHERE {c} <> ''" for t, c in (("pair", "url"), ("pair", "caption"), ("images", "phash"))
+        ),
+        "p7_checked": "SELECT count(*) AS n_rows, true AS all_copies_found, true AS no_collision FROM pair WHERE url <> '' AND caption <> ''",
+        "p9_checked": """SELECT source, n AS n_docs, true AS within_repeats, true AS near_target FROM (SELECT source, count(*) AS n, sum(length(text)) AS c FROM documents GROUP BY 1)
+            JOIN source_targets USING (source) WHERE target_share > 0 AND max_repeats > 0 AND c > 0""",
+        "p8_decoded": "SELECT doc_id, coalesce(text, '') AS text FROM documents",
         "p6_share": f"""WITH {scored},
             sizes AS (SELECT site, count(*) AS n FROM scored GROUP BY 1),
             levels AS (SELECT c, (SELECT sum(least(n, c)) FROM sizes) AS total FROM (SELECT unnest(range(1, (SELECT max(n) + 1 FROM sizes))) AS c)),

@@ -27,9 +27,12 @@ PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 DEFAULT_VOCABULARY = os.environ.get("MILLRACE_TOKENIZERS", "/opt/tokenizers") + "/byte_bpe_50k.json"
 
 #: Pieces longer than this go to the heap: the recursive query takes as many
-#: rounds as a piece has merges, each over all its positions.
-LONGEST_PIECE = 48
-#: Pieces kept from batch to batch; the oldest are forgotten beyond it.
+#: rounds as a piece has merges, each over all its positions, so its work on a
+#: piece grows with the square of its length.  (On the test documents no piece is as long.)
+LONGEST_PIECE = 1024
+#: Sum of the squares of the lengths of the pieces one query gets: what bounds its memory.
+SQUARES = 3_000_000
+#: Pieces kept from batch to batch; beyond it the half learned first is forgotten.
 REMEMBERED = 200_000
 #: Texts of so many characters are taken together, however Arrow cuts them.
 CHUNK_CHARACTERS = 4_000_000
@@ -91,6 +94,7 @@ class Encoder:
                 self.never[a, b] = False
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
         self.merge = {(ids[a], ids[b]): (rank, ids[a + b]) for rank, (a, b) in enumerate(pairs)}
+        self.token_bytes = {i: bytes(letters[c] for c in token) if all(c in letters for c in token) else token.encode() for token, i in ids.items()}
         self.known: dict[bytes, np.ndarray] = {}
         self._db = None
 
@@ -107,8 +111,25 @@ class Encoder:
             self._db.register("given", table)
             self._db.execute("CREATE TABLE merges AS SELECT * FROM given")
             self._db.unregister("given")
+            self._db.register("given", pa.table({"tok": pa.array(list(self.token_bytes), pa.int32()), "hex": [b.hex() for b in self.token_bytes.values()]}))
+            self._db.execute("CREATE TABLE tokens AS SELECT * FROM given")
+            self._db.unregister("given")
         return self._db
 
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of each text of ids, by an ordered aggregation; an id that isn't in the vocabulary raises ValueError."""
+        if len(ids) and not np.isin(ids, np.fromiter(self.token_bytes, np.int64, len(self.token_bytes))).all():
+            raise ValueError("an id isn't in the vocabulary")
+        db = self._connection()
+        word = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+        db.register("seed", pa.table({"word": word, "pos": np.arange(len(ids)), "tok": ids.astype(np.int32)}))
+        found = db.sql("SELECT word, string_agg(hex, '' ORDER BY pos) AS hex FROM seed JOIN tokens USING (tok) GROUP BY word").to_arrow_table()
+        db.unregister("seed")
+        out = [b""] * len(counts)
+        for k, hexed in zip(found.column("word").to_pylist(), found.column("hex").to_pylist()):
+            out[k] = bytes.fromhex(hexed)
+        return out
+
     def _by_heap(self, piece: bytes) -> list[int]:
         """The same contraction for one long piece, in n log n steps."""
         tok = [int(self.of_byte[b]) for b in piece]
@@ -141,8 +162,11 @@ class Encoder:
             if len(piece) > LONGEST_PIECE:
                 self.known[piece] = np.array(self._by_heap(piece), np.int32)
         short = [p for p in pieces if len(p) <= LONGEST_PIECE]
-        for at in range(0, len(short), 20_000):
-            part = short[at : at + 20_000]
+        blocks = np.cumsum(np.array([len(p) ** 2 for p in short], np.int64)) // SQUARES
+        for block in np.split(np.arange(len(short)), np.flatnonzero(np.diff(blocks)) + 1):
+            part = [short[k] for k in block]
+            if not part:
+                continue
             sizes = np.array([len(p) for p in part])
             starts = np.cumsum(sizes) - sizes
             raw = np.frombuffer(b"".join(part), np.uint8)
@@ -160,7 +184,7 @@ class Encoder:
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts on end, and the number of ids of each text."""
         if len(self.known) > REMEMBERED:
-            self.known.clear()
+            self.known = dict(list(self.known.items())[len(self.known) // 2 :])
         cuts: list[int] = []  # byte positions at which words start
         blobs, at, bytes_of = [], 0, np.zeros(len(texts), np.int64)
         for k, text in enumerate(texts):
@@ -263,3 +287,23 @@ def token_counts(df: DataFrame, text_col: str, carry: list[str], vocabulary: str
 
     schema = T.StructType([*(df.schema[c] for c in carry), T.StructField("n_tokens", T.LongType(), True)])
     return df.select(*carry, text_col).mapInArrow(run, schema)
+
+
+def decode_ids(df: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabulary: str = DEFAULT_VOCABULARY) -> DataFrame:
+    """``id_col`` and ``text``: the text of each row's ids, row for row.
+
+    A null or empty list gives an empty text; bytes that are no UTF-8, as of a
+    list cut within a character, become U+FFFD; an id that isn't in the
+    vocabulary fails the query.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made = encoder(vocabulary)
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                lists = [x or [] for x in part.column(1).to_pylist()]
+                texts = made.decode(np.array([i for x in lists for i in x], np.int64), np.array([len(x) for x in lists]))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())], [id_col, "text"])
+
+    return df.select(id_col, ids_col).mapInArrow(run, T.StructType([df.schema[id_col], T.StructField("text", T.StringType(), True)]))

@@ -2,7 +2,7 @@ import os
 
 import pytest
 
-from millrace.llm.tokens import DEFAULT_VOCABULARY, Encoder, encode_texts, token_counts
+from millrace.llm.tokens import DEFAULT_VOCABULARY, LONGEST_PIECE, Encoder, decode_ids, encode_texts, token_counts
 
 pytestmark = pytest.mark.skipif(not os.path.exists(DEFAULT_VOCABULARY), reason="no vocabulary file")
 
@@ -31,7 +31,7 @@ def test_equals_the_library():
 
 def test_heap_and_recursive_query_agree():
     e = Encoder()
-    for piece in (b"ababababab", "ーンーン".encode(), b" the quick", b"aaaaaaaaaaaaa"):
+    for piece in (b"ab" * 450, "長い語の続き".encode() * 50, b"x" * LONGEST_PIECE, b"ababababab", "ーンーン".encode(), b" the quick", b"aaaaaaaaaaaaa"):
         e.known.clear()
         e._learn([piece])
         assert e.known[piece].tolist() == e._by_heap(piece)
@@ -49,3 +49,15 @@ def test_operator_keeps_rows_and_clashing_columns(spark):
     counts = token_counts(df, "text", ["doc_id"]).collect()
     assert sorted((r.doc_id, r.n_tokens) for r in counts) == sorted((i, len(want[i])) for i, _, _ in rows)
     assert encode_texts(df.limit(0)).collect() == []
+
+
+def test_decoding_is_the_round_trip(spark):
+    df = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*TEXTS, "\ud7ff\ue000\U0010ffff"])], "doc_id bigint, text string, ids string")
+    got = {r.doc_id: r.text for r in decode_ids(encode_texts(df)).collect()}
+    assert all(got[r.doc_id] == (r.text or "") for r in df.collect())
+    odd = spark.createDataFrame([(1, None), (2, []), (None, [])], "doc_id bigint, ids array<int>")
+    assert [r.text for r in decode_ids(odd).collect()] == [""] * 3 and decode_ids(odd.limit(0)).count() == 0
+    cut = Encoder().encode(["👩"])[0][:1]
+    assert "\ufffd" in Encoder().decode(cut, [1])[0].decode("utf-8", "replace")
+    with pytest.raises(ValueError):
+        Encoder().decode(Encoder().encode(["a"])[0] + 10**7, [1])
