@@ -23,6 +23,8 @@ import numpy as np
 MOST_LETTERS = {2: 224, 3: 136}
 #: Rounds of EM from nothing and from a prior; starts from frequencies when there is no prior; share left to letters that are no cipher.
 ROUNDS, PRIOR_ROUNDS, STARTS, NOISE = 20, 8, 3, 0.02
+#: Gain in the mean log-likelihood of an n-gram below which a fit is settled.
+SETTLED = 1e-3
 #: Pseudo-count of each letter of the prior page, and the share of n-grams fitting by which EM has nothing left to learn beyond it.
 PRIOR, CONVERGED = 2.0, 0.97
 #: Counts that a letter's byte must be learned from: where the prior page has no byte for it, and to overrule the page.
@@ -173,7 +175,7 @@ def _fitting(seen: np.ndarray, language: np.ndarray, letters: list[int], chosen:
 
 
 def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.ndarray, prior: dict[int, int] | None = None) -> Fit | None:
-    """The mapping of letters to bytes of ``code`` learned from n-gram counts; None if there is nothing to learn from.
+    """The mapping of letters to bytes of ``code`` learned from n-gram counts; None if there is too little to learn from.
 
     ``grams`` are rows of three letters (the third 0 for pairs).  With a
     ``prior`` table EM starts from it and its letters keep PRIOR pseudo-counts;
@@ -182,7 +184,7 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
     """
     own = (grams[:, 2] > 0) if code.order == 3 else (grams[:, 2] == 0)
     grams, n = grams[own], n[own]
-    if not len(n) or not language.any():
+    if n.sum() < LEAST_GRAMS[code.order] or not language.any():
         return None
     letters, seen = _table(grams, n.astype(np.float64), code.order)
     places = code.places()
@@ -211,9 +213,12 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
         theta = np.exp(-1.5 * distance + 0.3 * start * random.standard_normal(distance.shape)) + 1e-4
         theta = ((pseudo + 1e-2 * theta if prior else theta) * fixed).astype(np.float32)
         theta /= np.maximum(theta.sum(1, keepdims=True), 1e-30)
-        expected, likelihood = theta, -np.inf
+        expected, likelihood, last = theta, -np.inf, -np.inf
         for _ in range(PRIOR_ROUNDS if prior else ROUNDS):
             expected, likelihood = _expect(seen, language, theta, noise)
+            if likelihood - last < SETTLED:
+                break
+            last = likelihood
             theta = (expected + pseudo) * fixed
             theta /= np.maximum(theta.sum(1, keepdims=True), 1e-30)
         if best is None or likelihood > best[0]:
