@@ -388,17 +388,24 @@ def _first(shared: Broadcast):
     return run
 
 
-def _fit(languages: Broadcast):
+def _fit(languages: Broadcast, common: Tables | None = None):
+    """EM on the n-grams of one source and swap: from its published page, or for every encoding from nothing.
+
+    With ``common``, what all sources together learned, a source begins from
+    that: where it fits already there is nothing of its own to learn.
+    """
+    common = common or {}
+
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        """EM on the n-grams of one source and swap: from its published page, or for every encoding from nothing."""
         source, swap = int(group["source"].iloc[0]), group["swap"].iloc[0]
         grams, n = group[["x", "y", "z"]].to_numpy(np.int64), group["n"].to_numpy(np.float64)
+        encoding, _, page = swap.partition(">")
+        shared = {code.name: common[f"{code.name}>{swap}"] for code in ciphers.CODES if not page and f"{code.name}>{swap}" in common}
         out = []
         for code in ciphers.CODES:
-            encoding, _, page = swap.partition(">")
-            if page and code.name != encoding:
+            if (page and code.name != encoding) or (shared and code.name not in shared):
                 continue
-            prior = _TABLES[page] if page else None
+            prior = {**_TABLES[page], **common.get(swap, {})} if page else shared.get(code.name)
             fit = ciphers.learn_mapping(grams, n, code, languages.value[code.name], prior)
             if fit is None or not fit.good():
                 continue
@@ -438,7 +445,7 @@ class Learned:
         }
         enough = grams.groupBy("source", "swap").agg(F.sum("n").alias("total")).filter(F.col("total") >= LEAST_OWN).select("source", "swap")
         # One row of each n-gram: however many rows a source has, its group is no larger than the pairs and triples of a code page's letters.
-        own = grams.join(enough, ["source", "swap"]).groupBy("source", "swap").applyInPandas(_fit(languages), _FITS)
+        own = grams.join(enough, ["source", "swap"]).groupBy("source", "swap").applyInPandas(_fit(languages, self.tables), _FITS)
         entry = F.struct("swap", F.map_from_arrays(F.col("letters").cast("array<string>"), "bytes").alias("table"))
         self.own = materialise(own.groupBy("source").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("tables")), "own_tables")
 
