@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -74,6 +75,30 @@ def is_japanese(text: Column | str, least: float = 0.3) -> Column:
     return F.coalesce((japanese_share(text) >= least) & kana, F.lit(False))
 
 
+def detected(text: Column | str, detect: Callable[[list[str]], list[str | None]]) -> Column:
+    """The language a detector gives each text, in Arrow batches; NULL for NULL and where it gives none.
+
+    ``detect`` takes a list of texts, so that a fast detector can work on many
+    at once; it is sent to the executors with the function.
+    """
+
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            there = batch.notna().to_numpy()
+            out = np.full(len(batch), None, object)
+            if there.any():
+                out[there] = detect(batch[there].tolist())
+            yield pd.Series(out, dtype=object)
+
+    run.__annotations__ = {"batches": Iterator[pd.Series], "return": Iterator[pd.Series]}
+    return F.pandas_udf(run, T.StringType())(text)
+
+
+def is_detected(detect: Callable[[list[str]], list[str | None]], language: str = "ja") -> Callable[[str], Column]:
+    """A language test by a detector, for use where :func:`is_japanese` is the default."""
+    return lambda text: F.coalesce(detected(text, detect) == language, F.lit(False))
+
+
 def decode_bytes(data: Column | str, encodings: tuple[str, ...] = FALLBACK_ENCODINGS) -> Column:
     """Text of bytes: strict UTF-8, else the first of ``encodings`` that reads them; NULL if none does."""
 

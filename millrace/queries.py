@@ -375,13 +375,11 @@ _DOT = "list_sum(list_transform(range(1, len({a}) + 1), lambda i: {a}[i] * {b}[i
         WHERE s >= 0.1"""
 )
 def cosine_filter(spark: SparkSession, d: str) -> DataFrame:
-    """Cosine of each vector with the next, the last with the first, at 0.1 or over."""
+    """Cosine of each vector with that of the next id, the last with the first, at 0.1 or over; a vector whose next id is missing gives no row."""
     e = table(spark, d, "embeddings").select("vec_id", "embedding")
-    low, high = e.agg(F.min("vec_id"), F.max("vec_id")).first()
-    if low is None:
-        return e.select("vec_id", F.lit(0.0).alias("similarity"))
+    low, high = e.agg(F.min("vec_id")).scalar(), e.agg(F.max("vec_id")).scalar()
     n = high + 1 - low
-    after = e.select((F.lit(low) + (F.col("vec_id") - low + n - 1) % n).alias("vec_id"), F.col("embedding").alias("next"))
+    after = e.select((low + (F.col("vec_id") - low + n - 1) % n).alias("vec_id"), F.col("embedding").alias("next"))
     scored = e.join(after, "vec_id").withColumn("similarity", V.cosine("embedding", "next"))
     return scored.filter(P.is_similar("similarity")).select("vec_id", F.round("similarity", 6).alias("similarity"))
 

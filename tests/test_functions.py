@@ -174,3 +174,9 @@ def test_vectors(spark):
     assert V.Head.seeded("H14", 1)(r.normal(size=(2, 1024))).shape == (2,)
     standard = df.filter("i = 0").select(V.standardise("a", F.col("b"), F.array(*[F.lit(4.0)] * 8)).alias("s")).first().s
     assert standard == pytest.approx((a[0] - b[0]) / 2)
+
+
+def test_detector_hook(spark):
+    detect = lambda texts: ["ja" if any("ぁ" <= c <= "ん" for c in t) else None if t == "?" else "en" for t in texts]
+    assert column(spark, ["ねこ", "cat", "?", None, ""], lambda c: X.detected(c, detect)) == ["ja", "en", None, None, "en"]
+    assert column(spark, ["ねこ", "cat", None], X.is_detected(detect)) == [True, False, False]
