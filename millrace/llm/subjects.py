@@ -230,16 +230,16 @@ def _expected(table: DataFrame, model: TopicModel) -> np.ndarray:
                 share = own.infer(doc, column, part.num_rows)
                 for k in range(shape[1]):
                     total[:, k] += np.bincount(column, share[:, k], minlength=shape[0])
-        blocks = [total[at : at + BLOCK].tobytes() for at in range(0, shape[0], BLOCK)]
+        blocks = [total[at : at + BLOCK].astype(np.float32).tobytes() for at in range(0, shape[0], BLOCK)]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(blocks), dtype=np.int32)), pa.array(blocks, pa.binary())], ["block", "n"])
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(x, np.float64) for x in group["n"])
-        return pd.DataFrame({"block": group["block"].iloc[:1], "n": [total.tobytes()]})
+        total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in group["n"])
+        return pd.DataFrame({"block": group["block"].iloc[:1], "n": [total.astype(np.float32).tobytes()]})
 
     few = table.coalesce(coarse(table)).mapInArrow(run, "block int, n binary")
     found = few.groupBy("block").applyInPandas(add, "block int, n binary").collect()
-    total = [np.frombuffer(r["n"], np.float64) for r in sorted(found, key=lambda r: r["block"])]
+    total = [np.frombuffer(r["n"], np.float32).astype(np.float64) for r in sorted(found, key=lambda r: r["block"])]
     return np.concatenate([np.zeros(0), *total]).reshape(-1, shape[1]) if total else np.zeros(shape)
 
 
