@@ -93,6 +93,19 @@ def with_order(df: DataFrame, out: str = "ord") -> DataFrame:
     return df.withColumn(out, F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")))
 
 
+def with_number(df: DataFrame, out: str = "ord") -> DataFrame:
+    """The same order of a Parquet read as one BIGINT: the file's place by name, and the row within the file (up to 2**40).
+
+    The driver sorts the list of files; a long one isn't broadcast but meets
+    the rows by a shuffle, in which no key has more rows than a file.
+    """
+    names = [r["_path"] for r in df.select(F.col("_metadata.file_path").alias("_path")).distinct().collect()]
+    names.sort(key=lambda p: (p.rsplit("/", 1)[1], p))
+    places = df.sparkSession.createDataFrame([(p, i) for i, p in enumerate(names)], "_path STRING, _place BIGINT")
+    numbered = df.withColumn("_path", F.col("_metadata.file_path")).withColumn("_row", F.col("_metadata.row_index"))
+    return numbered.join(places, "_path").withColumn(out, F.shiftleft(F.col("_place"), 40) + F.col("_row")).drop("_path", "_place", "_row")
+
+
 def word_list(spark: SparkSession, path: str, keep_empty: bool = False) -> list[str]:
     """Listed words in order of files and lines, stripped, empty ones left out unless kept; for lists that fit the driver."""
     lines, order = _lines_in_order(spark, path)

@@ -279,6 +279,26 @@ def test_shared_folder_is_needed_on_a_cluster():
         lineage.shared_folder(cluster)
 
 
+def test_command_line(spark, tmp_path):
+    from millrace.__main__ import main, parser
+
+    page = '<html lang="ja"><title>題名</title><p>これは日本語の本文です</p><img src="/a.jpg" alt="猫の写真"><img src="/b.jpg" alt="猫の写真"><img src="/c.jpg" alt="犬の写真"></html>'
+    (tmp_path / "x.warc.gz").write_bytes(gzip.compress(response("http://a.example/", b"text/html", page.encode())) + gzip.compress(response("http://b.example/", b"text/html", b"<html lang=en>")))
+    run = lambda stage, source, target, *more: main([stage, "--input", str(tmp_path / source), "--output", str(tmp_path / target), *more], spark)
+    assert run("pages", "x.warc.gz", "pages") == 1
+    assert run("good-pages", "pages", "good") == 1 and run("pairs", "good", "pairs") == 3
+    assert run("unique-pairs", "pairs", "unique") == 2
+    assert sorted(r.url for r in spark.read.parquet(str(tmp_path / "unique")).collect()) == ["http://a.example/a.jpg", "http://a.example/c.jpg"]
+    assert run("unique-pairs", "nowhere", "unique") == 2  # finished before: not made again
+    assert run("count", "pairs", "count") == 1 and run("compact", "pairs", "few", "--files", "2", "--max-files", "1", "--overwrite") == 3
+    rows = [(i, f"h{i % 3}", 0.05 * i, 0.1 * i) for i in range(6)]
+    spark.createDataFrame(rows, "n bigint, phash string, punsafe double, similarity double").coalesce(1).write.parquet(str(tmp_path / "images"))
+    assert run("unique-images", "images", "first") == 3 and run("safe-images", "images", "safe") == 2 and run("similar-pairs", "images", "similar") == 5
+    assert {r.n for r in spark.read.parquet(str(tmp_path / "first")).collect()} == {0, 1, 2}
+    with pytest.raises(SystemExit):
+        parser().parse_args(["pages"])
+
+
 def test_materialise_and_release(spark, tmp_path):
     from millrace.plans import lineage
 
