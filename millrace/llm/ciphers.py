@@ -27,6 +27,9 @@ ROUNDS, PRIOR_ROUNDS, STARTS, NOISE = 20, 8, 3, 0.02
 SETTLED = 1e-3
 #: Pseudo-count of each letter of the prior page, and the share of n-grams fitting by which EM has nothing left to learn beyond it.
 PRIOR, CONVERGED = 2.0, 0.97
+#: What the mean log-likelihood of an n-gram may be apart from the language's own: text of another language reads
+#: worse, and what repeats a few letters better, than a mapping to the language's bytes can make it.
+TYPICAL = (-1.0, 1.0)
 #: Counts that a letter's byte must be learned from: where the prior page has no byte for it, and to overrule the page.
 LEAST_LETTER, LEAST_CHANGE = 1.5, 8.0
 #: By the length of n-grams: the least number of them, the least share of them that must be usual in the language, and what is usual.
@@ -144,10 +147,13 @@ class Fit:
     chain: float  # the same of a chain of letters that knows nothing of bytes, less its parameters
     fitting: float  # share of the n-grams that are usual in the language
     grams: float
+    usual: float = 0.0  # mean log-likelihood of the language's own n-grams
+    settled: bool = False  # the prior fits already
 
     def good(self) -> bool:
         n = self.code.order
-        return self.grams >= LEAST_GRAMS[n] and self.fitting >= LEAST_FITTING[n] and self.likelihood > self.chain
+        typical = self.settled or TYPICAL[0] <= self.likelihood - self.usual <= TYPICAL[1]
+        return self.grams >= LEAST_GRAMS[n] and self.fitting >= LEAST_FITTING[n] and self.likelihood > self.chain and typical
 
 
 def _chain(seen: np.ndarray) -> float:
@@ -163,6 +169,11 @@ def _chain(seen: np.ndarray) -> float:
     return float((log_first + log_second - 0.5 * (first > 0).sum() * np.log(total)) / total)
 
 
+def _usual(language: np.ndarray) -> float:
+    p = language[language > 0].astype(np.float64)
+    return float((p * np.log(p)).sum())
+
+
 def _fitting(seen: np.ndarray, language: np.ndarray, letters: list[int], chosen: np.ndarray) -> float:
     """Share of the n-grams, for pairs those without ASCII, that ``chosen`` bytes make usual in the language."""
     usual = (language >= USUAL[seen.ndim])[np.ix_(*[np.maximum(chosen, 0)] * seen.ndim)]
@@ -203,7 +214,7 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
     if prior:
         fitting = _fitting(seen, language, letters, given)
         if fitting >= CONVERGED:
-            return Fit(code, {x: prior[x] for x in letters if x in prior}, 0.0, -np.inf, fitting, float(seen.sum()))
+            return Fit(code, {x: prior[x] for x in letters if x in prior}, 0.0, -np.inf, fitting, float(seen.sum()), settled=True)
     pseudo = np.full((b, v), 1e-3, np.float32)
     pseudo[given[given >= 0], np.flatnonzero(given >= 0)] += PRIOR
     distance = np.abs(np.log(frequency + 1e-6)[None, :] - np.log(_margin(language) + 1e-6)[:, None])
@@ -238,4 +249,4 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
                 table[x], chosen[k] = prior[x], given[k]
         elif learned[k]:
             table[x] = code.values[chosen[k]]
-    return Fit(code, table, likelihood, _chain(seen), _fitting(seen, language, letters, chosen), float(seen.sum()))
+    return Fit(code, table, likelihood, _chain(seen), _fitting(seen, language, letters, chosen), float(seen.sum()), _usual(language))

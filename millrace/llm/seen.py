@@ -332,7 +332,7 @@ _STATE = "part int, table binary"
 _ANSWERS = "part int, code tinyint, row_id bigint, h1 bigint, h2 bigint, behind boolean, flagged boolean, table binary"
 
 
-def _with_state(parts: int, forget: bool):
+def _with_state(forget: bool):
     """Rows of several parts, each part's table first and then its rows in order: answers, and at a part's end its new table."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -394,7 +394,7 @@ def _next_state(keys: DataFrame, state: str, forget: bool) -> DataFrame:
     if last is not None:
         held = spark.read.schema(_STATE).parquet(f"{state}/state={last}")
         rows = rows.unionByName(held, allowMissingColumns=True)
-    answers = rows.repartition(PARTS, "part").sortWithinPartitions("part", F.col("table").isNull(), "row_id").mapInArrow(_with_state(PARTS, forget), _ANSWERS)
+    answers = rows.repartition(PARTS, "part").sortWithinPartitions("part", F.col("table").isNull(), "row_id").mapInArrow(_with_state(forget), _ANSWERS)
     answers = materialise(answers, "answers")
     answers.filter("table IS NOT NULL").select("part", "table").write.mode("overwrite").parquet(f"{state}/state={0 if last is None else last + 1}")
     return answers.filter("table IS NULL").select("code", "row_id", "behind", "flagged")
