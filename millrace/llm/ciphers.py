@@ -22,9 +22,9 @@ import numpy as np
 #: Letters of a source a mapping is learned for by the length of n-grams, most frequent first; a code page has 128 beyond ASCII.
 MOST_LETTERS = {2: 224, 3: 136}
 #: Rounds of EM from nothing and from a prior; starts from frequencies when there is no prior; share left to letters that are no cipher.
-ROUNDS, PRIOR_ROUNDS, STARTS, NOISE = 20, 8, 3, 0.02
+ROUNDS, PRIOR_ROUNDS, STARTS, NOISE = 30, 8, 3, 0.02
 #: Gain in the mean log-likelihood of an n-gram below which a fit is settled.
-SETTLED = 1e-3
+SETTLED = 1e-4
 #: Pseudo-count of each letter of the prior page, and the share of n-grams fitting by which EM has nothing left to learn beyond it.
 PRIOR, CONVERGED = 2.0, 0.97
 #: What the mean log-likelihood of an n-gram may be apart from the language's own: text of another language reads
@@ -32,6 +32,8 @@ PRIOR, CONVERGED = 2.0, 0.97
 TYPICAL = (-1.0, 1.0)
 #: Counts that a letter's byte must be learned from: where the prior page has no byte for it, and to overrule the page.
 LEAST_LETTER, LEAST_CHANGE = 1.5, 8.0
+#: Share of a letter's counts that its byte must have, or half of it where the letter has as much of the byte's.
+SURE = 0.6
 #: By the length of n-grams: the least number of them, the least share of them that must be usual in the language, and what is usual.
 LEAST_GRAMS, LEAST_FITTING, USUAL = {2: 300, 3: 80}, {2: 0.95, 3: 0.82}, {2: 1e-5, 3: 3e-7}
 
@@ -185,13 +187,24 @@ def _fitting(seen: np.ndarray, language: np.ndarray, letters: list[int], chosen:
     return float(seen[usual].sum()) / max(float(seen.sum()), 1e-30)
 
 
-def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.ndarray, prior: dict[int, int] | None = None) -> Fit | None:
+def reads(grams: np.ndarray, n: np.ndarray, code: Code, language: np.ndarray, table: dict[int, int]) -> float:
+    """Share of the n-grams that a table makes usual in the language; 0 if there are none."""
+    own = (grams[:, 2] > 0) if code.order == 3 else (grams[:, 2] == 0)
+    if not own.any() or not language.any():
+        return 0.0
+    letters, seen = _table(grams[own], n[own].astype(np.float64), code.order)
+    places = code.places()
+    return _fitting(seen, language, letters, np.array([places[table[x]] if x in table else -1 for x in letters]))
+
+
+def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.ndarray, prior: dict[int, int] | None = None, settle: bool = True) -> Fit | None:
     """The mapping of letters to bytes of ``code`` learned from n-gram counts; None if there is too little to learn from.
 
     ``grams`` are rows of three letters (the third 0 for pairs).  With a
     ``prior`` table EM starts from it and its letters keep PRIOR pseudo-counts;
-    else the best of STARTS starts by frequency counts.  ASCII letters stand
-    for themselves.
+    else the best of STARTS starts by frequency counts.  Where the prior fits
+    already it is kept as it is, unless ``settle`` is false.  ASCII letters
+    stand for themselves.
     """
     own = (grams[:, 2] > 0) if code.order == 3 else (grams[:, 2] == 0)
     grams, n = grams[own], n[own]
@@ -213,7 +226,7 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
     given = np.array([places[prior[x]] if prior and x in prior else -1 for x in letters])
     if prior:
         fitting = _fitting(seen, language, letters, given)
-        if fitting >= CONVERGED:
+        if settle and fitting >= CONVERGED:
             return Fit(code, {x: prior[x] for x in letters if x in prior}, 0.0, -np.inf, fitting, float(seen.sum()), settled=True)
     pseudo = np.full((b, v), 1e-3, np.float32)
     pseudo[given[given >= 0], np.flatnonzero(given >= 0)] += PRIOR
@@ -225,7 +238,7 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
         theta = ((pseudo + 1e-2 * theta if prior else theta) * fixed).astype(np.float32)
         theta /= np.maximum(theta.sum(1, keepdims=True), 1e-30)
         expected, likelihood, last = theta, -np.inf, -np.inf
-        for _ in range(PRIOR_ROUNDS if prior else ROUNDS):
+        for _ in range(PRIOR_ROUNDS if prior and settle else ROUNDS):
             expected, likelihood = _expect(seen, language, theta, noise)
             if likelihood - last < SETTLED:
                 break
@@ -235,10 +248,13 @@ def learn_mapping(grams: np.ndarray, n: np.ndarray, code: Code, language: np.nda
         if best is None or likelihood > best[0]:
             best = likelihood, expected
     likelihood, expected = best
-    chosen = expected.argmax(0)
-    most = expected.max(0)
+    # A page gives a byte one letter: of two bytes that suit a letter it has the one that suits no other.
+    of_byte = expected / np.maximum(expected.sum(1, keepdims=True), 1e-30)
+    chosen = (expected * of_byte).argmax(0)
+    each = np.arange(v)
+    most, own = expected[chosen, each], of_byte[chosen, each]
     share = most / np.maximum(expected.sum(0), 1e-30)
-    learned = (most >= LEAST_LETTER) & (share >= 0.6) & (np.array(letters) > 0x7F)
+    learned = (most >= LEAST_LETTER) & ((share >= SURE) | (share >= SURE / 2) & (own >= SURE)) & (np.array(letters) > 0x7F)
     table: dict[int, int] = {}
     for k, x in enumerate(letters):
         if prior and x in prior:

@@ -3,7 +3,7 @@
 A wrong decoding is treated as a substitution cipher: bytes of an encoding
 were written as the letters of an unknown code page.  The runs of such letters
 are counted as letter n-grams by source (a site) and by the swap that reads
-them best, or by their script where none does; expectation-maximization then
+them best, or by their kind (see :func:`kind_of`) where none does; expectation-maximization then
 learns for each of these which byte every letter stands for (see
 :mod:`millrace.llm.ciphers`), over all sources together and for every source
 with enough of them.  Published code pages are the prior: a single garbled
@@ -55,6 +55,12 @@ GAIN, LEAST_MEAN = 9.0, -9.0
 LEAST_CHARACTERS = 3
 #: Share of a run's letters that the parts read by a swap must hold for the run to count as that swap's.
 READ_SHARE = 0.6
+#: Share of a run's letters that its most frequent one has if it stands out.
+LEAST_TOP = 0.15
+#: Tables of one encoding are one page's if they have so many letters in common, and this share of them stands for the same bytes.
+COMMON_LETTERS, ALIKE = 8, 0.9
+#: How often a table is learned anew of all it reads.
+REFITS = 3
 #: Letter n-grams a source must have of a swap for letters of its own to be learned; fewer are learned from all sources together.
 LEAST_OWN = 500
 
@@ -105,6 +111,17 @@ def script_of(run: str) -> str:
     return min(found, key=lambda x: (-found[x], x))
 
 
+def kind_of(run: str) -> str:
+    """What a run that no page reads is learned with: its script, and its most frequent letter where one stands out.
+
+    The bytes that lead most characters of a language are few, so the letter they became tells swaps of one script apart.
+    """
+    letters = Counter(c for c in run if c > "\x7f")
+    top = min(letters, key=lambda c: (-letters[c], c))
+    stands_out = letters[top] >= max(2.0, LEAST_TOP * letters.total())
+    return f"?{script_of(run)}{top if stands_out else ''}"
+
+
 class _Letters(dict):
     """A table for ``translate``: letters to bytes, ASCII as it is, other letters to 0."""
 
@@ -214,7 +231,7 @@ class Reader:
     """Finds and undoes swaps, given the language and the tables learned from all sources.
 
     Tables are by swap: ``encoding>page`` for one that began as a published
-    page, ``encoding>?script`` for one that began from nothing.  A text may
+    page, ``encoding>?kind`` for one that began from nothing (see :func:`kind_of`).  A text may
     bring its source's own tables as JSON.
     """
 
@@ -309,7 +326,7 @@ def _segments(text: str, field: str) -> str:
 SLICE = 500
 _READ = "field string, row_id bigint, source bigint, text string, slot int, n bigint"
 _FIRST = "field string, row_id bigint, source bigint, text string, bad boolean, swap string, x int, y int, z int, n bigint"
-_FITS = "source bigint, swap string, letters array<int>, bytes array<int>"
+_FITS = "source bigint, swap string, letters array<int>, bytes array<int>, n double"
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -376,7 +393,7 @@ def _first(shared: Broadcast):
                         held[swap.rstrip("!")] += sum(c > "\x7f" for c in text[i:j])
                     swap, letters = max(held.items(), key=lambda x: (x[1], x[0]), default=("", 0))
                     if letters < READ_SHARE * sum(c > "\x7f" for c in run.group()):
-                        swap = "?" + script_of(run.group())
+                        swap = kind_of(run.group())
                     for gram in grams_of_run:
                         total[source, swap, *gram] += 1
             if len(total) > 300_000:
@@ -411,12 +428,57 @@ def _fit(languages: Broadcast, common: Tables | None = None):
                 continue
             table = {c: b for c, b in fit.table.items() if not prior or prior.get(c) != b}
             if table:
-                out.append((source, swap if page else f"{code.name}>{swap}", list(table), list(table.values())))
-        return pd.DataFrame(out, columns=["source", "swap", "letters", "bytes"])
+                table = table if page else {**(prior or {}), **table}
+                out.append((source, swap if page else f"{code.name}>{swap}", list(table), list(table.values()), fit.grams))
+        return pd.DataFrame(out, columns=["source", "swap", "letters", "bytes", "n"])
+
+    return run
+
+
+def _best_of(languages: Broadcast, tables: Tables):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """The table that reads most of a kind's n-grams, if it reads enough."""
+        grams, n = group[["x", "y", "z"]].to_numpy(np.int64), group["n"].to_numpy(np.float64)
+        codes = {code.name: code for code in ciphers.CODES}
+        read = {name: ciphers.reads(grams, n, codes[c := name.split(">")[0]], languages.value[c], table) for name, table in tables.items()}
+        best = max(read, key=lambda name: (read[name], name))
+        rows = [(group["swap"].iloc[0], best)] if read[best] >= READ_SHARE else []
+        return pd.DataFrame(rows, columns=["swap", "name"])
 
     return run
 
 
+def _refit(languages: Broadcast, tables: Tables):
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        """A table learned anew of all n-grams it reads, from itself as the prior."""
+        name = group["name"].iloc[0]
+        table = tables[name]
+        grams, n = group[["x", "y", "z"]].to_numpy(np.int64), group["n"].to_numpy(np.float64)
+        code = next(c for c in ciphers.CODES if c.name == name.split(">")[0])
+        for _ in range(REFITS):  # letters learned once help to tell the next
+            fit = ciphers.learn_mapping(grams, n, code, languages.value[code.name], table, settle=False)
+            table = fit.table if fit is not None else table
+        return pd.DataFrame([(-1, name, list(table), list(table.values()), float(n.sum()))], columns=["source", "swap", "letters", "bytes", "n"])
+
+    return run
+
+
+def merged(tables: Tables, sizes: dict[str, float]) -> dict[str, str]:
+    """Which tables learned from nothing are one page's: each name's table, the one with most n-grams; it takes the others' further letters."""
+    of: dict[str, str] = {}
+    for name in sorted(tables, key=lambda x: (-sizes[x], x)):
+        code = name.split(">")[0]
+        for other in dict.fromkeys(of.values()):
+            both = tables[name].keys() & tables[other].keys() if other.split(">")[0] == code else ()
+            if len(both) >= COMMON_LETTERS and sum(tables[name][c] == tables[other][c] for c in both) >= ALIKE * len(both):
+                of[name] = other
+                tables[other] = {**tables[name], **tables[other]}
+                break
+        else:
+            of[name] = name
+    return of
+
+
 class Learned:
     """What was learned of all texts of ``field, row_id, source, text``.
 
@@ -425,7 +487,7 @@ class Learned:
     ``texts`` every text with anything to judge and whether it is garbled by
     the published pages (``bad``).  Only letters are listed whose byte is
     another than the published page's.  The driver gets the tables of all
-    sources together, at most MOST_LETTERS letters for each swap and script;
+    sources together, at most MOST_LETTERS letters for each swap and kind of run;
     those of single sources stay in Spark.
     """
 
@@ -440,12 +502,25 @@ class Learned:
         grams = first.filter("swap IS NOT NULL").groupBy("source", "swap", "x", "y", "z").agg(F.sum("n").alias("n"))
         grams = materialise(grams, "grams")
         together = grams.groupBy("swap", "x", "y", "z").agg(F.sum("n").alias("n")).withColumn("source", F.lit(-1).cast("bigint"))
-        self.tables: Tables = {
-            r["swap"]: dict(zip(r["letters"], r["bytes"])) for r in together.groupBy("swap").applyInPandas(_fit(languages), _FITS).collect()
-        }
+        found = together.groupBy("swap").applyInPandas(_fit(languages), _FITS).collect()
+        common: Tables = {r["swap"]: dict(zip(r["letters"], r["bytes"])) for r in found}
+        fresh = {name: table for name, table in common.items() if "?" in name}
+        one = merged(fresh, {r["swap"]: r["n"] for r in found})
+        fresh = {name: fresh[name] for name in sorted(set(one.values()))}
+        pages = {name: table for name, table in common.items() if "?" not in name}
+        kinds: dict[str, str] = {}
+        if fresh:
+            # Every kind goes with the table that reads it, and the tables are learned anew of all that is theirs.
+            unread = together.filter(F.col("swap").startswith("?"))
+            kinds = {r["swap"]: r["name"] for r in unread.groupBy("swap").applyInPandas(_best_of(languages, fresh), "swap string, name string").collect()}
+            named = spark.createDataFrame(list(kinds.items()), "swap string, name string")
+            theirs = unread.join(named, "swap").groupBy("name", "x", "y", "z").agg(F.sum("n").alias("n"))
+            fresh = {r["swap"]: dict(zip(r["letters"], r["bytes"])) for r in theirs.groupBy("name").applyInPandas(_refit(languages, fresh), _FITS).collect()}
+        self.tables: Tables = pages | fresh
+        common = {**pages, **{f"{name.split('>')[0]}>{kind}": fresh[name] for kind, name in kinds.items() if name in fresh}}
         enough = grams.groupBy("source", "swap").agg(F.sum("n").alias("total")).filter(F.col("total") >= LEAST_OWN).select("source", "swap")
         # One row of each n-gram: however many rows a source has, its group is no larger than the pairs and triples of a code page's letters.
-        own = grams.join(enough, ["source", "swap"]).groupBy("source", "swap").applyInPandas(_fit(languages, self.tables), _FITS)
+        own = grams.join(enough, ["source", "swap"]).groupBy("source", "swap").applyInPandas(_fit(languages, common), _FITS)
         entry = F.struct("swap", F.map_from_arrays(F.col("letters").cast("array<string>"), "bytes").alias("table"))
         self.own = materialise(own.groupBy("source").agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("tables")), "own_tables")
 
