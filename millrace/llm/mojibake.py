@@ -502,6 +502,7 @@ class Learned:
         grams = first.filter("swap IS NOT NULL").groupBy("source", "swap", "x", "y", "z").agg(F.sum("n").alias("n"))
         grams = materialise(grams, "grams")
         together = grams.groupBy("swap", "x", "y", "z").agg(F.sum("n").alias("n")).withColumn("source", F.lit(-1).cast("bigint"))
+        together = together.repartition(coarse(texts), "swap")  # few rows, long fits: not in one task
         found = together.groupBy("swap").applyInPandas(_fit(languages), _FITS).collect()
         common: Tables = {r["swap"]: dict(zip(r["letters"], r["bytes"])) for r in found}
         fresh = {name: table for name, table in common.items() if "?" in name}
