@@ -98,9 +98,9 @@ def _natural_model(counts: np.ndarray) -> Model:
 
 
 def _nouns() -> tuple[list[str], list[str]]:
-    """Japanese and English words of the filler and notices that aren't such a text by themselves."""
+    """Japanese and English words of the filler and notices that aren't such a text, or an opening of one, by themselves."""
     lines = [*FILLER, *NOTICES]
-    whole = {x.lower() for x in lines}
+    whole = {x.lower() for x in lines} | {w.lower() for x in OPENINGS for w in x.split()}
     found = {w for x in lines for w in re.findall("[ァ-ヺー]{2,}|[一-鿿]{2,}|JavaScript", x)}
     english = {w.lower() for x in lines for w in re.findall("[A-Za-z]{4,}", x) if x.isascii()}
     return sorted(w for w in found if w.lower() not in whole), sorted(w for w in english if w not in whole)
